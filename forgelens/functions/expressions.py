@@ -11,9 +11,9 @@ from pyspark.sql.types import DoubleType
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ssX"
 
 
-def ratio(part: Column, whole: Column) -> Column:
-    """``part / whole``, or 0.0 when there is nothing to divide by."""
-    return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
+def ratio(part: str, whole: str) -> str:
+    """SQL for ``part / whole``, 0.0 when there is nothing to divide by."""
+    return f"CASE WHEN {whole} > 0 THEN {part} / {whole} ELSE 0.0D END"
 
 
 def utc(instant: Column) -> Column:
@@ -64,9 +64,9 @@ def or_unknown(name: str) -> Column:
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column, for comparing results across engines."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.round(f.name, digits).alias(f.name) if isinstance(f.dataType, DoubleType) else f.name
+            f"round({f.name}, {digits}) AS {f.name}" if isinstance(f.dataType, DoubleType) else f.name
             for f in df.schema.fields
         ]
     )

@@ -39,9 +39,9 @@ def metric_leaders(
     ids = [*slice_cols, *grain.keys]
     values = (
         valid_events(metrics, grain)
-        .select(*ids, *[F.col(m).cast("double").alias(m) for m in names])
+        .selectExpr(*ids, *[f"CAST({m} AS DOUBLE) AS {m}" for m in names])
         .unpivot(ids, names, "selection_metric", "metric_value")
-        .where(F.col("metric_value").isNotNull())
+        .where("metric_value IS NOT NULL")
     )
     group = [*slice_cols, "selection_metric"]
     limit = int(metrics.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))

@@ -44,9 +44,10 @@ def match_rate(candidates: DataFrame, snapshot: DataFrame, grain: Grain, slice_c
 
 def project_contract(table: DataFrame, contract: StructType, partition_cols: Sequence[str] = ()) -> DataFrame:
     """Exactly the contract's columns: others are dropped, missing ones become typed nulls."""
-    return table.select(
+    present = set(table.columns)
+    return table.selectExpr(
         *[
-            (F.col(f.name) if f.name in table.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"CAST({f.name if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
             for f in contract.fields
         ],
         *partition_cols,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgelens.contracts import EVENT_COUNTS, EVENT_RATIOS, EVENT_TYPES, SLICE, Grain
@@ -23,18 +23,14 @@ _EVENT = "event"
 
 def valid_events(rows: DataFrame, grain: Grain) -> DataFrame:
     """Rows that name an entity of this grain; a repository name has the form owner/name."""
-    valid = rows.where(F.col(grain.id).isNotNull() & F.col(grain.label).isNotNull())
-    return valid.where(F.col(grain.label).like("%/%")) if grain.name == "repo" else valid
+    named = f" AND {grain.label} LIKE '%/%'" if grain.name == "repo" else ""
+    return rows.where(f"{grain.id} IS NOT NULL AND {grain.label} IS NOT NULL{named}")
 
 
-def is_bot(login: Column) -> Column:
-    return F.contains(F.lower(login), F.lit("[bot]"))
-
-
-def event_code(event_type: Column) -> Column:
-    """Position of the type in the vocabulary, from 1; 0 for unknown or missing types."""
-    vocabulary = F.array(*[F.lit(t) for t in EVENT_TYPES])
-    return F.coalesce(F.array_position(vocabulary, event_type), F.lit(0))
+def event_code(column: str = "event_type") -> str:
+    """SQL for the type's position in the vocabulary, from 1; 0 for unknown or missing types."""
+    vocabulary = ", ".join(f"'{t}'" for t in EVENT_TYPES)
+    return f"coalesce(array_position(array({vocabulary}), {column}), 0L)"
 
 
 def entity_counts(events: DataFrame, grain: Grain, slice_cols: Sequence[str] = SLICE) -> DataFrame:
@@ -48,57 +44,50 @@ def entity_counts(events: DataFrame, grain: Grain, slice_cols: Sequence[str] = S
     """
     keys = [*slice_cols, *grain.keys]
     distinct = {d: v for d, v in _DISTINCT.items() if d != "repo" or "repos_count" in grain.extra_counts}
-    facts = valid_events(events, grain).select(
+    facts = valid_events(events, grain).selectExpr(
         *keys,
         "created_at",
-        F.col("is_public").alias("_public"),
-        is_bot(F.col("actor_login")).alias("_bot"),
-        F.col("pull_request_merged").alias("_merged"),
-        event_code(F.col("event_type")).cast("bigint").alias(_EVENT),
-        *[F.col(column).cast("bigint").alias(dimension) for dimension, (column, _) in distinct.items()],
+        "is_public AS _public",
+        "contains(lower(actor_login), '[bot]') AS _bot",
+        "pull_request_merged AS _merged",
+        f"{event_code()} AS {_EVENT}",
+        *[f"CAST({column} AS BIGINT) AS {dimension}" for dimension, (column, _) in distinct.items()],
     )
     members = facts.unpivot(
         [*keys, "created_at", "_public", "_bot", "_merged"], [_EVENT, *distinct], "_dimension", "_member"
-    ).where(F.col("_member").isNotNull())
+    ).where("_member IS NOT NULL")
     per_member = members.groupBy(*keys, "_dimension", "_member").agg(
-        F.count("*").alias("_n"),
-        F.count_if("_public").alias("_public"),
-        F.count_if("_bot").alias("_bot"),
-        F.count_if("_merged").alias("_merged"),
-        F.max("created_at").alias("_last"),
+        F.expr("count(*) AS _n"),
+        F.expr("count_if(_public) AS _public"),
+        F.expr("count_if(_bot) AS _bot"),
+        F.expr("count_if(_merged) AS _merged"),
+        F.expr("max(created_at) AS _last"),
     )
 
-    is_event = F.col("_dimension") == _EVENT
-
-    def total(column: str, condition: Column = is_event) -> Column:
-        return F.sum(F.when(condition, F.col(column)).otherwise(F.lit(0)))
+    def total(column: str, condition: str = "") -> str:
+        return f"sum(CASE WHEN _dimension = '{_EVENT}' {condition} THEN {column} ELSE 0 END)"
 
-    sizes = {metric: F.count_if(F.col("_dimension") == d) for d, (_, metric) in distinct.items()}
     by_name = {
         "total_events": total("_n"),
         "public_events_count": total("_public"),
         "bot_events": total("_bot"),
         "merged_pr_count": total("_merged"),
-        **sizes,
-        **{
-            name: total("_n", is_event & (F.col("_member") == code))
-            for code, name in enumerate(EVENT_COUNTS, start=1)
-        },
+        **{metric: f"count_if(_dimension = '{d}')" for d, (_, metric) in distinct.items()},
+        **{c: total("_n", f"AND _member = {code}") for code, c in enumerate(EVENT_COUNTS, start=1)},
     }
     return per_member.groupBy(*keys).agg(
-        *[by_name[name].alias(name) for name in grain.counts], F.max("_last").alias("last_event_at")
+        *[F.expr(f"{by_name[name]} AS {name}") for name in grain.counts], F.expr("max(_last) AS last_event_at")
     )
 
 
 def with_scores(counts: DataFrame) -> DataFrame:
     """Add the share of each event type, the composite score and the bot share."""
-    total = F.col("total_events")
-    push = ratio(F.col("push_events"), total)
-    return counts.select(
+    push = ratio("push_events", "total_events")
+    return counts.selectExpr(
         "*",
-        *[ratio(F.col(c), total).alias(r) for c, r in zip(EVENT_COUNTS, EVENT_RATIOS)],
-        (F.log1p(total) * 0.5 + push * 0.3 + F.log1p("unique_actors") * 0.2).alias("composite_score"),
-        ratio(F.col("bot_events"), total).alias("bot_ratio"),
+        *[f"{ratio(c, 'total_events')} AS {r}" for c, r in zip(EVENT_COUNTS, EVENT_RATIOS)],
+        f"0.5D * log1p(total_events) + 0.3D * {push} + 0.2D * log1p(unique_actors) AS composite_score",
+        f"{ratio('bot_events', 'total_events')} AS bot_ratio",
     )
 
 

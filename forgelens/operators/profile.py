@@ -60,7 +60,7 @@ def repo_bot_suffix(events: DataFrame) -> DataFrame:
     counts = events.groupBy("repo_id", "repo_full_name").agg(
         F.count("*").alias("events_total"), bots.alias("bot_events")
     )
-    return counts.withColumn("bot_ratio", ratio(F.col("bot_events"), F.col("events_total")))
+    return counts.selectExpr("*", f"{ratio('bot_events', 'events_total')} AS bot_ratio")
 
 
 def repo_comment_leaders(metrics: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters the oracle shares. Organizations are few, so fewer of them are selected.
 TOP_N = {"repo": 25, "org": 5}
-HOURLY_TOP_N = {"repo": 3, "org": 2}
+SLICED_TOP_N = {"repo": 3, "org": 2}
 AS_OF = date(2001, 8, 8)
 FIRST_DAY, LAST_DAY = date(2024, 1, 1), date(2024, 1, 30)
 ONE_SLICE = (date(2024, 1, 15), 12)
@@ -56,7 +56,7 @@ def _snapshot(spark: SparkSession, sf: str, grain: Grain) -> DataFrame:
 
 
 def _top_n(grain: Grain, by: tuple[str, ...]) -> int:
-    return (HOURLY_TOP_N if by == SLICE else TOP_N)[grain.name]
+    return (SLICED_TOP_N if by else TOP_N)[grain.name]
 
 
 def _candidates(spark: SparkSession, sf: str, grain: Grain, by: tuple[str, ...]) -> DataFrame:
@@ -102,10 +102,10 @@ def _(spark, sf):
 
 @query("slice_overwrite_idempotent")
 def _(spark, sf):
-    metrics = stage(_metrics(spark, sf, REPO, SLICE))
+    metrics = stage(_metrics(spark, sf, REPO, DAY))
     path = shared_dir(spark)
-    write_slices(metrics, path)
-    write_slices(metrics.where(F.col("dt") == ONE_SLICE[0]), path)
+    write_slices(metrics, path, DAY)
+    write_slices(metrics.where(F.col("dt") == ONE_SLICE[0]), path, DAY)
     return spark.read.parquet(path).groupBy("dt").agg(
         F.count("*").alias("entities"), F.sum("total_events").alias("total_events")
     )
@@ -126,14 +126,13 @@ def _(spark, sf):
 
 
 def _bucketed(spark: SparkSession, sf: str, grain: Grain) -> DataFrame:
+    """Daily mart as a bucketed table, one day written twice, then summed up per entity."""
     table = f"{grain.name}_mart_{uuid.uuid4().hex[:12]}"
     path = shared_dir(spark)
-    mart = stage(_mart(spark, sf, grain, SLICE))
-    write_bucketed(mart, grain, table, path)
-    write_bucketed(mart.where(F.col("dt") == ONE_SLICE[0]), grain, table, path)
-    stored = spark.table(table).where(in_slices([(ONE_SLICE[0], h) for h in range(24)]))
-    rest = spark.table(table).where(F.col("dt") != F.lit(ONE_SLICE[0]))
-    return stored.unionByName(rest).groupBy(*grain.keys).agg(
+    mart = stage(_mart(spark, sf, grain, DAY))
+    write_bucketed(mart, grain, table, path, DAY)
+    write_bucketed(mart.where(F.col("dt") == ONE_SLICE[0]), grain, table, path, DAY)
+    return spark.table(table).groupBy(*grain.keys).agg(
         F.count("*").alias("slices"),
         F.sum("total_events").alias("total_events"),
         F.max("composite_score").alias("best_score"),

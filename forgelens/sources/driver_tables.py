@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgelens.contracts import EVENT_COUNTS, EVENT_TYPES
-from forgelens.operators.flatten import with_event_slice
 
 # Source event type -> the three event types it stands for, chosen by the remainder of k.
 EVENT_TYPE_BY_SOURCE = {
@@ -30,46 +29,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _event_type(source: Column, k: Column) -> Column:
-    mapped = F.lit(None).cast("string")
-    for name, types in EVENT_TYPE_BY_SOURCE.items():
-        chosen = F.when(k % 3 == 0, types[0]).when(k % 3 == 1, types[1]).otherwise(types[2])
-        mapped = F.when(source == name, chosen).otherwise(mapped)
-    return mapped
+def _event_type() -> str:
+    cases = " ".join(
+        f"WHEN '{source}' THEN element_at(array('{a}', '{b}', '{c}'), CAST(k % 3 AS INT) + 1)"
+        for source, (a, b, c) in EVENT_TYPE_BY_SOURCE.items()
+    )
+    return f"CASE event_type {cases} END"
 
 
 def events_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    raw = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
-    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_name", "c_nationkey")
-    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")
+    comments = ", ".join(f"'{t}'" for t in COMMENT_TYPES)
+    raw = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "ts", "user_id", "event_type", "value", "CAST(get_json_object(props, '$.k') AS BIGINT) AS k"
+    )
+    customer = table(spark, sf_dir, "customer").selectExpr("c_custkey AS user_id", "c_name", "c_nationkey")
+    nation = table(spark, sf_dir, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name", "n_regionkey")
     joined = (
-        raw.withColumn("kind", _event_type(F.col("event_type"), F.col("k")))
+        raw.selectExpr("*", f"{_event_type()} AS kind")
         .join(customer, "user_id", "left")
         .join(nation, "c_nationkey", "left")
     )
-    has_org = F.col("n_regionkey") != 0
-    flat = joined.select(
+    return joined.selectExpr(
         "event_id",
-        F.col("kind").alias("event_type"),
-        F.col("ts").alias("created_at"),
-        F.col("user_id").alias("repo_id"),
-        F.when(F.col("user_id") % 25 == 24, F.col("c_name"))
-        .otherwise(F.concat("n_name", F.lit("/"), "c_name"))
-        .alias("repo_full_name"),
-        F.col("k").alias("actor_id"),
-        F.concat(F.lit("user"), F.col("k").cast("string"), F.when(F.col("k") % 10 == 0, "[bot]").otherwise("")).alias(
-            "actor_login"
-        ),
-        F.when(has_org, F.col("c_nationkey").cast("bigint")).alias("org_id"),
-        F.when(has_org, F.col("n_name")).alias("org_login"),
-        (F.col("value") >= 10).alias("is_public"),
-        F.when(F.col("kind") == "PullRequestEvent", F.col("value") >= 50).alias("pull_request_merged"),
-        F.when(F.col("event_type") == "error", F.col("event_id") % 97).alias("issue_id"),
-        F.when(F.col("kind").isin(*COMMENT_TYPES), F.col("event_id")).alias("comment_id"),
-        F.when(F.col("kind") == "ReleaseEvent", F.col("event_id") % 53).alias("release_id"),
+        "kind AS event_type",
+        "ts AS created_at",
+        "user_id AS repo_id",
+        "CASE WHEN user_id % 25 = 24 THEN c_name ELSE concat(n_name, '/', c_name) END AS repo_full_name",
+        "k AS actor_id",
+        "concat('user', CAST(k AS STRING), CASE WHEN k % 10 = 0 THEN '[bot]' ELSE '' END) AS actor_login",
+        "CASE WHEN n_regionkey != 0 THEN CAST(c_nationkey AS BIGINT) END AS org_id",
+        "CASE WHEN n_regionkey != 0 THEN n_name END AS org_login",
+        "value >= 10 AS is_public",
+        "CASE WHEN kind = 'PullRequestEvent' THEN value >= 50 END AS pull_request_merged",
+        "CASE WHEN event_type = 'error' THEN event_id % 97 END AS issue_id",
+        f"CASE WHEN kind IN ({comments}) THEN event_id END AS comment_id",
+        "CASE WHEN kind = 'ReleaseEvent' THEN event_id % 53 END AS release_id",
+        "CAST(ts AS DATE) AS dt",
+        "CAST(hour(ts) AS INT) AS hr",
     )
-    return with_event_slice(flat)
 
 
 def repo_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,36 +74,35 @@ def repo_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "orders")
         .groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(
-            F.count_if(F.col("o_orderstatus") == "O").alias("open_orders"),
-            F.min("o_orderdate").alias("first_order"),
-            F.max("o_orderdate").alias("last_order"),
+            F.expr("count_if(o_orderstatus = 'O') AS open_orders"),
+            F.expr("min(o_orderdate) AS first_order"),
+            F.expr("max(o_orderdate) AS last_order"),
         )
     )
-    customer = table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
-    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    key, stars = F.col("c_custkey"), F.floor("c_acctbal").cast("bigint")
+    customer = table(spark, sf_dir, "customer").where("c_acctbal >= 0")
+    nation = table(spark, sf_dir, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name")
     return (
         customer.join(nation, "c_nationkey")
         .join(activity, "c_custkey", "left")
-        .select(
-            key.alias("repo_id"),
-            F.concat("n_name", F.lit("/"), "c_name").alias("repo_full_name"),
-            F.col("c_name").alias("repo_name"),
-            F.col("n_name").alias("owner_login"),
-            F.col("c_nationkey").cast("bigint").alias("owner_id"),
-            F.when(key % 3 == 0, "Organization").when(key % 3 == 1, "User").alias("owner_type"),
-            F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("language"),
-            F.when(key % 6 != 5, "public").alias("visibility"),
-            F.when(key % 7 != 6, key % 4 == 0).alias("is_fork"),
-            (key % 10 == 9).alias("is_archived"),
-            F.lit(False).alias("is_disabled"),
-            stars.alias("stargazers_count"),
-            F.floor(F.col("c_acctbal") / 10).cast("bigint").alias("forks_count"),
-            stars.alias("watchers_count"),
-            (key % 50).alias("subscribers_count"),
-            F.coalesce("open_orders", F.lit(0)).cast("bigint").alias("open_issues_count"),
-            F.col("first_order").alias("created_at"),
-            F.col("last_order").alias("pushed_at"),
+        .selectExpr(
+            "c_custkey AS repo_id",
+            "concat(n_name, '/', c_name) AS repo_full_name",
+            "c_name AS repo_name",
+            "n_name AS owner_login",
+            "CAST(c_nationkey AS BIGINT) AS owner_id",
+            "CASE c_custkey % 3 WHEN 0 THEN 'Organization' WHEN 1 THEN 'User' END AS owner_type",
+            "nullif(c_mktsegment, 'BUILDING') AS language",
+            "CASE WHEN c_custkey % 6 != 5 THEN 'public' END AS visibility",
+            "CASE WHEN c_custkey % 7 != 6 THEN c_custkey % 4 = 0 END AS is_fork",
+            "c_custkey % 10 = 9 AS is_archived",
+            "false AS is_disabled",
+            "CAST(floor(c_acctbal) AS BIGINT) AS stargazers_count",
+            "CAST(floor(c_acctbal / 10) AS BIGINT) AS forks_count",
+            "CAST(floor(c_acctbal) AS BIGINT) AS watchers_count",
+            "c_custkey % 50 AS subscribers_count",
+            "coalesce(open_orders, 0) AS open_issues_count",
+            "first_order AS created_at",
+            "last_order AS pushed_at",
         )
     )
 
@@ -116,34 +112,33 @@ def org_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "supplier")
         .groupBy(F.col("s_nationkey").alias("n_nationkey"))
         .agg(
-            F.count("*").alias("public_repos"),
-            F.sum(F.floor(F.abs("s_acctbal")).cast("bigint")).alias("followers"),
-            F.min("s_acctbal").alias("lowest"),
+            F.expr("count(*) AS public_repos"),
+            F.expr("sum(CAST(floor(abs(s_acctbal)) AS BIGINT)) AS followers"),
+            F.expr("min(s_acctbal) AS lowest"),
         )
         .where(F.col("lowest") >= ORG_DEBIT_LIMIT)
     )
-    region = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
-    key, name = F.col("n_nationkey"), F.col("n_name")
+    region = table(spark, sf_dir, "region").selectExpr("r_regionkey AS n_regionkey", "r_name")
     return (
         table(spark, sf_dir, "nation")
         .join(region, "n_regionkey")
         .join(members, "n_nationkey")
-        .select(
-            key.cast("bigint").alias("org_id"),
-            name.alias("org_login"),
-            F.concat(F.lit("Org "), name).alias("org_name"),
-            F.when(key % 5 != 4, F.col("r_name")).alias("location"),
-            F.when(key % 4 != 3, F.concat(F.lit("Company "), F.col("n_regionkey").cast("string"))).alias("company"),
-            F.when(key % 2 == 0, F.concat(F.lit("https://example.test/"), name)).alias("blog"),
-            F.when(key % 3 == 0, F.concat(name, F.lit("@example.test"))).alias("email"),
-            F.when(key % 4 == 0, name).alias("twitter_username"),
-            F.when(key % 3 == 0, True).when(key % 3 == 1, False).alias("is_verified"),
-            F.lit(True).alias("has_organization_projects"),
-            (key % 2 == 1).alias("has_repository_projects"),
+        .selectExpr(
+            "CAST(n_nationkey AS BIGINT) AS org_id",
+            "n_name AS org_login",
+            "concat('Org ', n_name) AS org_name",
+            "CASE WHEN n_nationkey % 5 != 4 THEN r_name END AS location",
+            "CASE WHEN n_nationkey % 4 != 3 THEN concat('Company ', CAST(n_regionkey AS STRING)) END AS company",
+            "CASE WHEN n_nationkey % 2 = 0 THEN concat('https://example.test/', n_name) END AS blog",
+            "CASE WHEN n_nationkey % 3 = 0 THEN concat(n_name, '@example.test') END AS email",
+            "CASE WHEN n_nationkey % 4 = 0 THEN n_name END AS twitter_username",
+            "CASE n_nationkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS is_verified",
+            "true AS has_organization_projects",
+            "n_nationkey % 2 = 1 AS has_repository_projects",
             "public_repos",
-            (key % 7).cast("bigint").alias("public_gists"),
+            "CAST(n_nationkey % 7 AS BIGINT) AS public_gists",
             "followers",
-            F.col("n_regionkey").cast("bigint").alias("following"),
+            "CAST(n_regionkey AS BIGINT) AS following",
         )
     )
 

@@ -22,7 +22,7 @@ from forgelens.operators import dashboards, pages
 from forgelens.plans.queries import (
     AS_OF,
     FIRST_DAY,
-    HOURLY_TOP_N,
+    SLICED_TOP_N,
     LAST_DAY,
     ONE_SLICE,
     PAGE_TOP_N,
@@ -207,7 +207,7 @@ def _ctes() -> dict[str, str]:
     for grain in (REPO, ORG):
         for suffix, by in BY.items():
             m, t, c = (f"{grain.name}_{kind}_{suffix}" for kind in ("metrics", "leaders", "candidates"))
-            top_n = (HOURLY_TOP_N if suffix == "hour" else TOP_N)[grain.name]
+            top_n = (SLICED_TOP_N if by else TOP_N)[grain.name]
             ctes[m] = _metrics(grain, by)
             ctes[t] = _leaders(grain, m, by, grain.metrics, top_n)
             ctes[c] = _candidates(grain, m, t, by)
@@ -501,7 +501,7 @@ def _bucketed(grain: Grain) -> str:
             r("max(composite_score)", "best_score"),
             big("sum(reasons)", "reasons"),
         ],
-        f"{grain.name}_mart_hour",
+        f"{grain.name}_mart_day",
     )
 
 
@@ -577,7 +577,7 @@ def _others() -> dict[str, str]:
         "raw_flatten_roundtrip": "SELECT * FROM flat",
         "raw_flatten_sparse_payload": f"SELECT event_type, count(*) AS events, {filled} FROM flat GROUP BY event_type",
         "slice_overwrite_idempotent": "SELECT dt, count(*) AS entities, CAST(sum(total_events) AS BIGINT) AS total_events "
-        "FROM repo_metrics_hour GROUP BY dt",
+        "FROM repo_metrics_day GROUP BY dt",
         "slice_filter": f"SELECT event_id, event_type, repo_id, dt, hr FROM flat WHERE dt = DATE '{day}' AND hr = {hour}",
         "slice_calendar_coverage": "SELECT CAST(h AS DATE) AS dt, CAST(hour(h) AS INTEGER) AS hr, count(f.created_at) AS events "
         "FROM (SELECT unnest(generate_series(date_trunc('hour', min(created_at)), date_trunc('hour', max(created_at)), "

@@ -30,6 +30,7 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def plan_of():
     def text(df) -> str:
-        return df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+        plan = df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+        return plan.split("== Initial Plan ==")[0]
 
     return text

@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+from builders import DAY, ORG, REPO, by, metrics
+from forgelens.contracts import ORG_SNAPSHOT, REPO_SNAPSHOT, mart_schema
+from forgelens.operators.marts import build_mart, latest_per_key, match_rate, project_contract
+
+
+def snapshot(spark, schema, rows):
+    return spark.createDataFrame([tuple(r.get(n) for n in schema.names) for r in rows], schema)
+
+
+def test_repository_keeps_one_copy_of_shared_columns(spark):
+    candidates = metrics(spark, REPO, [{"repo_id": 1, "repo_full_name": "acme/core", "base": 3}])
+    found = snapshot(
+        spark, REPO_SNAPSHOT, [{"repo_id": 1, "repo_full_name": "acme/renamed", "language": "Go", "dt": DAY, "hr": 10}]
+    )
+    mart = build_mart(candidates, found, REPO, ())
+    assert len(mart.columns) == len(set(mart.columns))
+    assert not {"dt", "hr"} & set(mart.columns)
+    (row,) = mart.collect()
+    assert (row.repo_full_name, row.language, row.total_events) == ("acme/core", "Go", 3)
+
+
+def test_organization_without_snapshot_stays(spark):
+    candidates = metrics(spark, ORG, [{"org_id": i, "org_login": f"o{i}"} for i in (10, 11)])
+    found = snapshot(spark, ORG_SNAPSHOT, [{"org_id": 10, "org_name": "Ten", "dt": DAY, "hr": 10}])
+    rows = by(build_mart(candidates, found, ORG).collect(), "org_id")
+    assert {k: v["org_name"] for k, v in rows.items()} == {10: "Ten", 11: None}
+    assert match_rate(candidates, found, ORG).first().asDict() == {"candidates": 2, "matched": 1}
+
+
+def test_snapshots_match_within_their_slice(spark):
+    candidates = metrics(spark, ORG, [{"org_id": 10, "org_login": "o", "hr": hr} for hr in (10, 11)])
+    found = snapshot(spark, ORG_SNAPSHOT, [{"org_id": 10, "org_name": "Ten", "dt": DAY, "hr": 10}])
+    rows = by(build_mart(candidates, found, ORG).collect(), "hr")
+    assert {k: v["org_name"] for k, v in rows.items()} == {10: "Ten", 11: None}
+
+
+def test_latest_snapshot_per_key(spark, plan_of):
+    rows = [
+        (1, datetime(2026, 3, 1), 5),
+        (1, datetime(2026, 3, 2), 6),
+        (1, datetime(2026, 3, 2), 7),
+        (2, None, 8),
+        (2, datetime(2026, 1, 1), 9),
+    ]
+    frame = spark.createDataFrame(rows, "repo_id bigint, api_fetched_at timestamp_ntz, load bigint")
+    latest = latest_per_key(frame, ["repo_id"], then=["load"])
+    assert sorted((r.repo_id, r.load) for r in latest.collect()) == [(1, 7), (2, 9)]
+    assert latest_per_key(frame.union(frame), ["repo_id"]).count() == 2
+    assert plan_of(latest).count("WindowGroupLimit") == 2
+
+
+def test_contract_projection(spark):
+    frame = spark.createDataFrame([(1, "a/b", "7", "x")], "repo_id int, repo_full_name string, total_events string, extra string")
+    projected = project_contract(frame, mart_schema(REPO))
+    assert projected.columns == mart_schema(REPO).names
+    assert [f.dataType for f in projected.schema] == [f.dataType for f in mart_schema(REPO)]
+    row = projected.first()
+    assert (row.repo_id, row.total_events, row.language, row.selection_reasons) == (1, 7, None, None)
+
+
+def test_contract_widths():
+    assert len(mart_schema(REPO)) == 69
+    assert len(mart_schema(ORG)) == 67

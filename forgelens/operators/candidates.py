@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgelens.contracts import SLICE, Grain
+from forgelens.functions.joins import join_slices
 from forgelens.operators.metrics import valid_events
+from forgelens.sources.staging import stage
 
 _SHARDS = 64
+_BUCKETS_PER_PLACE = 4
 
 
 def available_metrics(metrics: DataFrame, wanted: Sequence[str]) -> list[str]:
@@ -30,27 +33,64 @@ def metric_leaders(
 ) -> DataFrame:
     """The ``top_n`` entities of every metric and slice, ties broken by the entity keys.
 
-    All metrics are ranked in one pass over (entity, metric, value) rows. Spark cuts each
-    task's rows to ``top_n`` per group before the shuffle (WindowGroupLimit), up to a limit
-    it can be configured with; beyond that limit shards of each group are ranked first, so
-    that no task receives a whole group.
+    All metrics are ranked in one pass over (entity, metric, value) rows, of which only
+    those that can still make it are sorted: see ``_above_floors``. Spark then cuts each
+    task's rows to ``top_n`` per group before the shuffle (WindowGroupLimit).
+
+    Both steps are for a ``top_n`` up to Spark's own limit for that cut. A larger one is
+    ranked in shards of each group first, so that no task receives a whole group.
+
+    ``metrics`` is read twice: pass a stored table.
     """
     names = available_metrics(metrics, wanted or grain.metrics)
     ids = [*slice_cols, *grain.keys]
+    wide = valid_events(metrics, grain).selectExpr(*ids, *[f"CAST({m} AS DOUBLE) AS {m}" for m in names])
+    entities = wide.select(*ids, F.array(*names).alias("_values"))
+    few = top_n <= int(metrics.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if few:
+        entities = _above_floors(entities, _floors(wide, names, grain, top_n, slice_cols), slice_cols)
+    labels = F.array(*[F.lit(m) for m in names])
     values = (
-        valid_events(metrics, grain)
-        .selectExpr(*ids, *[f"CAST({m} AS DOUBLE) AS {m}" for m in names])
-        .unpivot(ids, names, "selection_metric", "metric_value")
+        entities.select(*ids, F.posexplode("_values").alias("_position", "metric_value"))
         .where("metric_value IS NOT NULL")
+        .select(*ids, F.get(labels, F.col("_position")).alias("selection_metric"), "metric_value")
     )
     group = [*slice_cols, "selection_metric"]
-    limit = int(metrics.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if top_n > limit:
+    if not few:
         sharded = values.withColumn("_shard", F.pmod(F.xxhash64(*grain.keys), F.lit(_SHARDS)))
         values = _leaders(sharded, [*group, "_shard"], grain, top_n).drop("_shard", "metric_rank")
     return _leaders(values, group, grain, top_n)
 
 
+def _floors(wide: DataFrame, names: Sequence[str], grain: Grain, top_n: int, slice_cols: Sequence[str]) -> DataFrame:
+    """Per slice, a value for each metric that at least ``top_n`` entities reach.
+
+    Entities are hashed into a few buckets per place to give away; the ``top_n``-th largest
+    bucket maximum is reached by ``top_n`` different entities. It is null if there are not
+    that many.
+    """
+    bucket = F.pmod(F.xxhash64(*grain.keys), F.lit(_BUCKETS_PER_PLACE * top_n)).alias("_bucket")
+    maxima = wide.groupBy(*slice_cols, bucket).agg(*[F.expr(f"max({m}) AS {m}") for m in names])
+    nth = [F.expr(f"get(sort_array(collect_list({m}), false), {top_n - 1})") for m in names]
+    return maxima.groupBy(*slice_cols).agg(F.array(*nth).alias("_floors"))
+
+
+def _above_floors(entities: DataFrame, floors: DataFrame, slice_cols: Sequence[str]) -> DataFrame:
+    """Blank out values below their floor: they cannot be among the leaders, ties with it can.
+
+    Without this, every entity would be sorted once per metric, mostly for the zeros of
+    event types it never had.
+    """
+    if slice_cols:
+        # Stored, so that the planner knows the size: one small row per slice is broadcast,
+        # and only a very long history makes it shuffle the entities instead.
+        bounded = join_slices(entities, stage(floors), slice_cols)
+    else:
+        bounded = entities.select("*", floors.scalar().alias("_floors"))
+    reached = F.expr("zip_with(_values, _floors, (v, f) -> CASE WHEN v >= coalesce(f, v) THEN v END)")
+    return bounded.withColumn("_values", reached).drop("_floors")
+
+
 def _leaders(values: DataFrame, group: Sequence[str], grain: Grain, top_n: int) -> DataFrame:
     order = Window.partitionBy(*group).orderBy(F.desc("metric_value"), *grain.keys)
     return values.withColumn("metric_rank", F.row_number().over(order)).where(F.col("metric_rank") <= top_n)
@@ -65,8 +105,8 @@ def select_candidates(
 ) -> DataFrame:
     """Metric rows of the leaders, each with the sorted list of metrics it leads on.
 
-    ``metrics`` is read twice, for ranking and for the result: pass a stored table. Only
-    keys and values go through the ranking; the wide rows join the few survivors.
+    Only keys and values go through the ranking; the wide rows join the few survivors.
+    ``metrics`` is read for both, so pass a stored table.
     """
     ids = [*slice_cols, *grain.keys]
     reasons = (
@@ -74,4 +114,5 @@ def select_candidates(
         .groupBy(*ids)
         .agg(F.array_sort(F.collect_set("selection_metric")).alias("selection_reasons"))
     )
-    return metrics.join(reasons, ids)
+    # Stored for its size as well: joined by broadcast if small, and the wide rows stay put.
+    return join_slices(metrics, stage(reasons), slice_cols, grain.keys)

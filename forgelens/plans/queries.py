@@ -183,7 +183,7 @@ def _metric_queries(grain: Grain) -> None:
 
         @query(f"{grain.name}_metric_topn{suffix}")
         def _(spark, sf, by=by):
-            return metric_leaders(_metrics(spark, sf, grain, by), grain, _top_n(grain, by), slice_cols=by)
+            return metric_leaders(stage(_metrics(spark, sf, grain, by)), grain, _top_n(grain, by), slice_cols=by)
 
         @query(f"{grain.name}_candidates{suffix}")
         def _(spark, sf, by=by):

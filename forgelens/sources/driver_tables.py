@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgelens.contracts import EVENT_COUNTS, EVENT_TYPES
+from forgelens.functions.expressions import slice_start
 
 # Source event type -> the three event types it stands for, chosen by the remainder of k.
 EVENT_TYPE_BY_SOURCE = {
@@ -173,9 +174,7 @@ def _answers(found: Column, payload: Column) -> list[Column]:
     return [
         F.when(found, F.lit(200)).otherwise(F.lit(404)).alias("status_code"),
         F.when(found, F.to_json(payload)).otherwise(gone).alias("payload"),
-        F.timestamp_add("MINUTE", F.lit(5), F.timestamp_add("HOUR", F.col("hr"), F.col("dt").cast("timestamp_ntz"))).alias(
-            "fetched_at"
-        ),
+        F.timestamp_add("MINUTE", F.lit(5), slice_start(F.col("dt"), F.col("hr"))).alias("fetched_at"),
         *[F.lit(None).cast("string").alias(h) for h in ("retry_after", "reset_at", "remaining")],
         F.col("dt"),
         F.col("hr"),

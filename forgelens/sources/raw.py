@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgelens.contracts import CORRUPT, RAW_EVENT, SLICE
+from forgelens.functions.expressions import slice_start
 
 
 def read_raw_events(
@@ -60,7 +61,7 @@ def slice_calendar(spark: SparkSession, start: datetime, end: datetime) -> DataF
 
 def calendar_of(table: DataFrame) -> DataFrame:
     """Every hourly slice between the first and the last one present in ``table``."""
-    start = F.timestamp_add("HOUR", F.col("hr"), F.col("dt").cast("timestamp_ntz"))
+    start = slice_start(F.col("dt"), F.col("hr"))
     return _hours(table.agg(F.min(start).alias("first"), F.max(start).alias("last")))
 
 

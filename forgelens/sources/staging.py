@@ -17,8 +17,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="forgelens-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="forgelens-"))
+        root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/forgelens-{uuid.uuid4().hex}"
 
 

@@ -14,6 +14,8 @@ from forgelens.sources.staging import stage
 
 _SHARDS = 64
 _BUCKETS_PER_PLACE = 4
+# Tables below this size are ranked in one lazy plan: the extra pass would cost more than it saves.
+_WORTH_PRUNING = 256 * 1024**2
 
 
 def available_metrics(metrics: DataFrame, wanted: Sequence[str]) -> list[str]:
@@ -24,6 +26,12 @@ def available_metrics(metrics: DataFrame, wanted: Sequence[str]) -> list[str]:
     return present
 
 
+def _is_large(table: DataFrame) -> bool:
+    """Spark's own size estimate: exact for a stored table, and large if nothing is known."""
+    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) >= _WORTH_PRUNING
+
+
 def metric_leaders(
     metrics: DataFrame,
     grain: Grain,
@@ -33,21 +41,21 @@ def metric_leaders(
 ) -> DataFrame:
     """The ``top_n`` entities of every metric and slice, ties broken by the entity keys.
 
-    All metrics are ranked in one pass over (entity, metric, value) rows, of which only
-    those that can still make it are sorted: see ``_above_floors``. Spark then cuts each
-    task's rows to ``top_n`` per group before the shuffle (WindowGroupLimit).
+    All metrics are ranked in one pass over (entity, metric, value) rows. Spark cuts each
+    task's rows to ``top_n`` per group before the shuffle (WindowGroupLimit), and of a large
+    table only values that can still make it are sorted at all: see ``_above_floors``.
 
-    Both steps are for a ``top_n`` up to Spark's own limit for that cut. A larger one is
-    ranked in shards of each group first, so that no task receives a whole group.
+    Both are for a ``top_n`` up to Spark's own limit for that cut. A larger one is ranked in
+    shards of each group first, so that no task receives a whole group.
 
-    ``metrics`` is read twice: pass a stored table.
+    A large ``metrics`` is read twice: pass a stored table.
     """
     names = available_metrics(metrics, wanted or grain.metrics)
     ids = [*slice_cols, *grain.keys]
     wide = valid_events(metrics, grain).selectExpr(*ids, *[f"CAST({m} AS DOUBLE) AS {m}" for m in names])
     entities = wide.select(*ids, F.array(*names).alias("_values"))
     few = top_n <= int(metrics.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if few:
+    if few and _is_large(metrics):
         entities = _above_floors(entities, _floors(wide, names, grain, top_n, slice_cols), slice_cols)
     labels = F.array(*[F.lit(m) for m in names])
     values = (
@@ -114,5 +122,7 @@ def select_candidates(
         .groupBy(*ids)
         .agg(F.array_sort(F.collect_set("selection_metric")).alias("selection_reasons"))
     )
-    # Stored for its size as well: joined by broadcast if small, and the wide rows stay put.
-    return join_slices(metrics, stage(reasons), slice_cols, grain.keys)
+    if _is_large(metrics):
+        # Stored for its size as well: joined by broadcast if small, and the wide rows stay put.
+        reasons = stage(reasons)
+    return join_slices(metrics, reasons, slice_cols, grain.keys)

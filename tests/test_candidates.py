@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from builders import DAY, ORG, REPO, SLICE, by, events, metrics
+from forgelens.operators import candidates
 from forgelens.operators.candidates import metric_leaders, select_candidates
 from forgelens.operators.metrics import entity_metrics
+from forgelens.sources.staging import stage
 from test_metrics import random_events
 
 
@@ -102,9 +104,11 @@ def brute_force(rows, grain, top_n):
 
 
 @pytest.mark.parametrize("grain", [REPO, ORG], ids=["repo", "org"])
+@pytest.mark.parametrize("size", [0, 2**80], ids=["large", "small"])
 @pytest.mark.parametrize("limit", ["1000", "1"], ids=["group limit", "sharded"])
-def test_against_brute_force(spark, grain, limit):
-    table = entity_metrics(events(spark, random_events(11, 300)), grain)
+def test_against_brute_force(spark, monkeypatch, grain, limit, size):
+    monkeypatch.setattr(candidates, "_WORTH_PRUNING", size)
+    table = stage(entity_metrics(events(spark, random_events(11, 300)), grain))
     expected = brute_force([r.asDict() for r in table.collect()], grain, 2)
     spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", limit)
     try:
@@ -128,8 +132,9 @@ def test_many_slices_equal_single_slices(spark):
 
 
 @pytest.mark.parametrize("slices", [(), ("dt",)], ids=["whole", "daily"])
-def test_floors_never_cost_a_leader(spark, slices):
+def test_floors_never_cost_a_leader(spark, monkeypatch, slices):
     """Heavy ties, few entities, many places: the pruned ranking equals the plain one."""
+    monkeypatch.setattr(candidates, "_WORTH_PRUNING", 0)
     rows = [
         {"repo_id": i, "repo_full_name": f"a/{i}", "base": i % 3, "push_events": i, "watch_events": None, "hr": 0}
         for i in range(60)
@@ -152,6 +157,10 @@ def test_rows_without_a_slice_are_ranked_among_themselves(spark):
     assert sorted((str(r.dt), r.repo_id) for r in got) == [("2026-03-20", 2), ("None", 2)]
 
 
+def test_size_of_a_stored_table_is_known(spark):
+    assert not candidates._is_large(stage(metrics(spark, REPO, [])))
+
+
 def test_rows_are_cut_before_the_shuffle(spark, plan_of):
     plan = plan_of(metric_leaders(metrics(spark, REPO, []), REPO, 25))
     assert plan.count("WindowGroupLimit") == 2

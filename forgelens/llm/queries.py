@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forgelens.llm import decontaminate, quality, repeats, simhash
+from forgelens.llm import decontaminate, mixing, quality, repeats, simhash
 from forgelens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_near_dedup": lambda spark, d: simhash.op3_simhash_near_dedup(table(spark, d, "documents")),
     "op4_benchmark_decontamination": lambda spark, d: decontaminate.op4_benchmark_decontamination(table(spark, d, "documents"), table(spark, d, "benchmark")),
+    "op6_mixing_sources": lambda spark, d: mixing.op6_mixing_sources(table(spark, d, "documents")),
     "op7_suffix_array_dedup": lambda spark, d: repeats.op7_suffix_array_dedup(table(spark, d, "documents")),
     "op8_quality_classifier": lambda spark, d: quality.op8_quality_classifier(table(spark, d, "documents"), table(spark, d, "labels")),
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_mixing_sources": mixing.OP6_SQL,
+}

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forgelens.llm import decontaminate, mixing, quality, repeats, simhash, topk
+from forgelens.llm import decontaminate, language, mixing, quality, repeats, simhash, topk
 from forgelens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": lambda spark, d: topk.op1_exact_top_k(table(spark, d, "embeddings")),
+    "op2_language_id": lambda spark, d: language.op2_language_id(table(spark, d, "documents")),
     "op3_simhash_near_dedup": lambda spark, d: simhash.op3_simhash_near_dedup(table(spark, d, "documents")),
     "op4_benchmark_decontamination": lambda spark, d: decontaminate.op4_benchmark_decontamination(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op6_mixing_sources": lambda spark, d: mixing.op6_mixing_sources(table(spark, d, "documents")),

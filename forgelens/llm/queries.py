@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forgelens.llm import decontaminate, language, mixing, pitman_yor, quality, repeats, simhash, topk
+from forgelens.llm import decontaminate, language, mixing, pitman_yor, quality, repeats, sentences, simhash, topk
 from forgelens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_mixing_sources": lambda spark, d: mixing.op6_mixing_sources(table(spark, d, "documents")),
     "op7_suffix_array_dedup": lambda spark, d: repeats.op7_suffix_array_dedup(table(spark, d, "documents")),
     "op8_quality_classifier": lambda spark, d: quality.op8_quality_classifier(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op10_substring_dedup": lambda spark, d: sentences.op10_substring_dedup(table(spark, d, "documents")),
     "op9_lm_scoring": lambda spark, d: pitman_yor.op9_lm_scoring(table(spark, d, "documents")),
 }
 

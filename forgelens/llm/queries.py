@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forgelens.llm import decontaminate, language, mixing, pitman_yor, quality, repeats, sentences, simhash, topk
+from forgelens.llm import decontaminate, language, licenses, mixing, pitman_yor, quality, repeats, sentences, simhash, topk
 from forgelens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": lambda spark, d: language.op2_language_id(table(spark, d, "documents")),
     "op3_simhash_near_dedup": lambda spark, d: simhash.op3_simhash_near_dedup(table(spark, d, "documents")),
     "op4_benchmark_decontamination": lambda spark, d: decontaminate.op4_benchmark_decontamination(table(spark, d, "documents"), table(spark, d, "benchmark")),
+    "op5_license_scan": lambda spark, d: licenses.op5_license_scan(table(spark, d, "documents")),
     "op6_mixing_sources": lambda spark, d: mixing.op6_mixing_sources(table(spark, d, "documents")),
     "op7_suffix_array_dedup": lambda spark, d: repeats.op7_suffix_array_dedup(table(spark, d, "documents")),
     "op8_quality_classifier": lambda spark, d: quality.op8_quality_classifier(table(spark, d, "documents"), table(spark, d, "labels")),
@@ -23,5 +24,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_exact_top_k": topk.OP1_SQL,
+    "op5_license_scan": licenses.OP5_SQL,
     "op6_mixing_sources": mixing.OP6_SQL,
 }

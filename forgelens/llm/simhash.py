@@ -86,16 +86,15 @@ def links(prints: DataFrame, bits: int = 2, crowd: int = 64) -> DataFrame:
     and every link is within the distance.
     """
     masks = [_keep(q for q in piece if q != p) for piece in _pieces(bits) for p in [None, *piece]]
-    entries = _entries(prints.select("fp"), masks)
-    groups = entries.groupBy("mask", "value").agg(F.count("*").alias("n")).where("n > 1")
-    groups = stage(groups)
-    some = stage(entries.join(groups.where(F.col("n") <= crowd), ["mask", "value"]).select("mask", "value", "fp"))
-    within = F.expr(f"bit_count(a ^ b) <= {bits}")
-    found = (
-        some.select("mask", "value", F.col("fp").alias("a")).join(some.select("mask", "value", F.col("fp").alias("b")), ["mask", "value"])
-        .where("a < b").where(within).select("a", "b")
-    )
-    crowded = stage(entries.join(groups.where(F.col("n") > crowd), ["mask", "value"]).select("mask", "value", "fp"))
+    key = F.xxhash64("mask", "value").alias("entry")  # equal entries meet; distances are verified
+    entries = _entries(prints.select("fp"), masks).select(key, "fp")
+    groups = entries.groupBy("entry").agg(F.count("*").alias("n")).where("n > 1")
+    # Groups grow with the input: no broadcast, also where they happen to be few.
+    shared = stage(entries.join(groups.hint("merge"), "entry"))
+    some = shared.where(F.col("n") <= crowd)
+    pairs = some.select("entry", F.col("fp").alias("a")).join(some.select("entry", F.col("fp").alias("b")), "entry")
+    found = pairs.where("a < b").where(F.expr(f"bit_count(a ^ b) <= {bits}")).select("a", "b")
+    crowded = shared.where(F.col("n") > crowd)
     if not crowded.isEmpty():
         found = found.unionByName(_crowded(crowded, bits))
     return found.distinct()

@@ -35,7 +35,7 @@ def word_count(text: str = "text") -> Column:
 def plain_share(text: str = "text") -> Column:
     """Quality weight from 0.05 to 1: the share of a text's characters that are no symbols."""
     symbols = "#$%&*@^~|<>{}[]\\_=+"
-    share = F.length(F.translate(F.col(text), symbols, "")) / F.length(text)
+    share = F.try_divide(F.length(F.translate(F.col(text), symbols, "")), F.length(text))
     return F.greatest(F.lit(0.05), F.coalesce(share, F.lit(1.0)))
 
 

@@ -266,7 +266,8 @@ def cut_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
 
     Cut are the bytes from the first byte of a hit span's first word to the last of its last.
     """
-    hits = find_passages(docs, benchmark, window)
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    hits = find_passages(docs.select(F.struct(F.lit(0).alias("__"), *others).alias("row"), "text"), benchmark, window)
 
     def rows(batches):
         for batch in batches:
@@ -287,7 +288,7 @@ def cut_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
             yield [pa.array(out, pa.string())]
 
     cut = append_columns(hits, ["text", "hit_spans"], T.StructType([T.StructField("__text", T.StringType())]), rows)
-    return cut.select(*[F.col("__text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    return cut.select(*[(F.col("__text") if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def op4_benchmark_decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgelens.llm import decontaminate, mixing, quality, repeats, simhash
@@ -10,11 +10,24 @@ from forgelens.llm.common import table
 from forgelens.sources.staging import stage
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, n_chars, and all other columns in ``__row``, where names can't clash."""
+    own = ["doc_id", "text", "n_chars"]
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in own]
+    return docs.select(*own, F.struct(F.lit(0).alias("__"), *others).alias("__row"))
+
+
+def _unpacked(packed: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` from what became of ``_packed(docs)``."""
+    own = {c: F.col(c) for c in ("doc_id", "text", "n_chars") if c not in changed} | changed
+    return packed.select(*[own.get(c, F.col(f"__row.`{c}`")).alias(c) for c in docs.columns])
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on all labels, doesn't reject. Empty and null
     texts are scored like others."""
-    scored = quality.classify(docs, quality.train(docs, table(spark, sf_dir, "labels")))
-    return scored.where("predicted = 1").select(*docs.columns)
+    machine = quality.train(docs, table(spark, sf_dir, "labels"))
+    return _unpacked(quality.classify(_packed(docs), machine).where("predicted = 1"), docs)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,25 +43,19 @@ def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Texts without the bytes of repeated strings; characters cut in the middle go as a whole.
     ``n_chars`` follows the text where that changed. A document of which nothing is left goes,
     one that was empty or null before stays as it is."""
-    cut = repeats.cut_repeats(docs.withColumn("__whole", F.when(F.length("text") == 0, F.lit(""))))
-    valid = F.translate(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", "")
-    text = F.when(F.col("n_removed") > 0, valid).otherwise(F.when(F.col("n_bytes") > 0, F.col("kept").cast("string")).otherwise(F.col("__whole")))
-    return _with_text(docs, cut.where("n_bytes = 0 or n_removed < n_bytes").withColumn("__text", text), F.col("n_removed") > 0)
+    cut = repeats.cut_repeats(_packed(docs).withColumn("__null", F.col("text").isNull())).where("n_bytes = 0 or n_removed < n_bytes")
+    whole = F.col("kept").cast("string")
+    valid = F.translate(F.make_valid_utf8(whole), "\ufffd", "")
+    text = F.when(F.col("n_removed") > 0, valid).when(~F.col("__null"), whole)
+    n_chars = F.when(F.col("n_removed") > 0, F.length(valid).cast("long")).otherwise(F.col("n_chars"))
+    return _unpacked(cut, docs, text=text, n_chars=n_chars)
 
 
 def cut_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the words of benchmark passages; ``n_chars`` follows."""
-    cut = decontaminate.cut_passages(docs.withColumn("__before", F.length("text")), table(spark, sf_dir, "benchmark"))
-    changed = ~F.col("__before").eqNullSafe(F.length("text"))
-    return _with_text(docs, cut.withColumn("__text", F.col("text")).drop("text"), changed)
-
-
-def _with_text(docs: DataFrame, cut: DataFrame, changed) -> DataFrame:
-    """``cut`` in the columns of ``docs``, with ``__text`` as text."""
-    columns = {"text": F.col("__text")}
-    if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(changed, F.length("__text").cast("long")).otherwise(F.col("n_chars").cast("long"))
-    return cut.select(*[columns.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    """Texts without the words of benchmark passages; ``n_chars`` follows where that changed."""
+    cut = decontaminate.cut_passages(_packed(docs).withColumn("__before", F.length("text")), table(spark, sf_dir, "benchmark"))
+    n_chars = F.when(F.col("__before").eqNullSafe(F.length("text")), F.col("n_chars")).otherwise(F.length("text").cast("long"))
+    return _unpacked(cut, docs, n_chars=n_chars)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -94,8 +94,8 @@ ORG = Grain("org", "org_id", "org_login", extra_counts=("repos_count",))
 BUCKETS = {"repo": 16, "org": 8}
 
 
-def _fields(data_type: DataType, names: str) -> list[StructField]:
-    return [StructField(n, data_type) for n in names.split()]
+def _fields(data_type: DataType, *names: str) -> list[StructField]:
+    return [StructField(n, data_type) for n in names]
 
 
 def _struct(*groups: list[StructField]) -> StructType:
@@ -110,17 +110,17 @@ _SLICE_FIELDS = [StructField("dt", _DT), StructField("hr", _I)]
 # an unexpected kind becomes null instead of spoiling the whole line.
 CORRUPT = "_corrupt_record"
 RAW_EVENT = _struct(
-    _fields(_S, "id type created_at public"),
+    _fields(_S, "id", "type", "created_at", "public"),
     [
-        StructField("repo", _struct(_fields(_S, "id name"))),
-        StructField("actor", _struct(_fields(_S, "id login"))),
-        StructField("org", _struct(_fields(_S, "id login url avatar_url"))),
+        StructField("repo", _struct(_fields(_S, "id", "name"))),
+        StructField("actor", _struct(_fields(_S, "id", "login"))),
+        StructField("org", _struct(_fields(_S, "id", "login", "url", "avatar_url"))),
         StructField(
             "payload",
             _struct(
-                _fields(_S, "action ref_type"),
+                _fields(_S, "action", "ref_type"),
                 [
-                    StructField("pull_request", _struct(_fields(_S, "id merged"))),
+                    StructField("pull_request", _struct(_fields(_S, "id", "merged"))),
                     StructField("issue", _struct(_fields(_S, "id"))),
                     StructField("comment", _struct(_fields(_S, "id"))),
                     StructField("release", _struct(_fields(_S, "id"))),
@@ -143,34 +143,34 @@ EVENTS_FLAT = _struct(
     _fields(_L, "actor_id"),
     _fields(_S, "actor_login"),
     _fields(_L, "org_id"),
-    _fields(_S, "org_login org_url org_avatar_url"),
+    _fields(_S, "org_login", "org_url", "org_avatar_url"),
     _fields(_B, "is_public"),
-    _fields(_S, "payload_action payload_ref_type"),
+    _fields(_S, "payload_action", "payload_ref_type"),
     _fields(_L, "pull_request_id"),
     _fields(_B, "pull_request_merged"),
-    _fields(_L, "issue_id comment_id release_id member_id"),
+    _fields(_L, "issue_id", "comment_id", "release_id", "member_id"),
     _fields(_T, "ingestion_ts"),
     _fields(_S, "source_file"),
 )
 
 REPO_SNAPSHOT = _struct(
     _fields(_L, "repo_id"),
-    _fields(_S, "repo_full_name repo_name owner_login"),
+    _fields(_S, "repo_full_name", "repo_name", "owner_login"),
     _fields(_L, "owner_id"),
-    _fields(_S, "owner_type description language license_spdx_id default_branch visibility"),
-    _fields(_B, "is_fork is_archived is_disabled"),
-    _fields(_L, "stargazers_count forks_count watchers_count subscribers_count open_issues_count"),
-    _fields(_T, "created_at updated_at pushed_at api_fetched_at"),
+    _fields(_S, "owner_type", "description", "language", "license_spdx_id", "default_branch", "visibility"),
+    _fields(_B, "is_fork", "is_archived", "is_disabled"),
+    _fields(_L, "stargazers_count", "forks_count", "watchers_count", "subscribers_count", "open_issues_count"),
+    _fields(_T, "created_at", "updated_at", "pushed_at", "api_fetched_at"),
     _SLICE_FIELDS,
 )
 
 ORG_SNAPSHOT = _struct(
     _fields(_L, "org_id"),
-    _fields(_S, "org_login org_name company blog location email description twitter_username"),
-    _fields(_B, "is_verified has_organization_projects has_repository_projects"),
-    _fields(_L, "public_repos public_gists followers following"),
+    _fields(_S, "org_login", "org_name", "company", "blog", "location", "email", "description", "twitter_username"),
+    _fields(_B, "is_verified", "has_organization_projects", "has_repository_projects"),
+    _fields(_L, "public_repos", "public_gists", "followers", "following"),
     _fields(_S, "html_url"),
-    _fields(_T, "created_at updated_at api_fetched_at"),
+    _fields(_T, "created_at", "updated_at", "api_fetched_at"),
     _SLICE_FIELDS,
 )
 
@@ -183,7 +183,7 @@ API_RESPONSE = _struct(
     _fields(_I, "status_code"),
     _fields(_S, "payload"),
     _fields(_T, "fetched_at"),
-    _fields(_S, "retry_after reset_at remaining"),
+    _fields(_S, "retry_after", "reset_at", "remaining"),
     _SLICE_FIELDS,
 )
 
@@ -192,12 +192,21 @@ def metrics_schema(grain: Grain) -> StructType:
     """Metrics of one entity; candidates add ``selection_reasons``."""
     return _struct(
         [StructField(grain.id, _L), StructField(grain.label, _S)],
-        _fields(_L, " ".join(grain.counts)),
+        _fields(_L, *grain.counts),
         _fields(_T, "last_event_at"),
-        _fields(_D, " ".join(EVENT_RATIOS + SCORES)),
+        _fields(_D, *EVENT_RATIOS, *SCORES),
     )
 
 
+def in_slice(schema: StructType) -> StructType:
+    """The stored form of a table: its columns and the slice."""
+    return _struct(list(schema.fields), _SLICE_FIELDS)
+
+
+def candidates_schema(grain: Grain) -> StructType:
+    return in_slice(_struct(list(metrics_schema(grain).fields), [StructField("selection_reasons", ArrayType(_S))]))
+
+
 def mart_schema(grain: Grain) -> StructType:
     """Curated table without its partition columns: metrics, reasons, snapshot attributes.
 
@@ -210,5 +219,5 @@ def mart_schema(grain: Grain) -> StructType:
         list(metrics.fields),
         [StructField("selection_reasons", ArrayType(_S))],
         [f for f in SNAPSHOT[grain.name].fields if f.name not in known],
-        _fields(_S, "_dlt_load_id _dlt_id"),
+        _fields(_S, "_dlt_load_id", "_dlt_id"),
     )

@@ -10,12 +10,8 @@ from pyspark.sql import functions as F
 from forgelens.contracts import SLICE, Grain
 from forgelens.functions.joins import join_slices
 from forgelens.operators.metrics import valid_events
-from forgelens.sources.staging import stage
 
-_SHARDS = 64
 _BUCKETS_PER_PLACE = 4
-# Tables below this size are ranked in one lazy plan: the extra pass would cost more than it saves.
-_WORTH_PRUNING = 256 * 1024**2
 
 
 def available_metrics(metrics: DataFrame, wanted: Sequence[str]) -> list[str]:
@@ -26,12 +22,6 @@ def available_metrics(metrics: DataFrame, wanted: Sequence[str]) -> list[str]:
     return present
 
 
-def _is_large(table: DataFrame) -> bool:
-    """Spark's own size estimate: exact for a stored table, and large if nothing is known."""
-    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) >= _WORTH_PRUNING
-
-
 def metric_leaders(
     metrics: DataFrame,
     grain: Grain,
@@ -41,33 +31,25 @@ def metric_leaders(
 ) -> DataFrame:
     """The ``top_n`` entities of every metric and slice, ties broken by the entity keys.
 
-    All metrics are ranked in one pass over (entity, metric, value) rows. Spark cuts each
-    task's rows to ``top_n`` per group before the shuffle (WindowGroupLimit), and of a large
-    table only values that can still make it are sorted at all: see ``_above_floors``.
-
-    Both are for a ``top_n`` up to Spark's own limit for that cut. A larger one is ranked in
-    shards of each group first, so that no task receives a whole group.
+    All metrics are ranked in one pass over (entity, metric, value) rows, by one plan at every
+    size. Values that cannot make it are dropped before they are sorted, see ``_above_floors``;
+    of what is left, mostly ties with the last place, Spark cuts each task's rows to ``top_n``
+    per group before the shuffle (WindowGroupLimit).
 
-    A large ``metrics`` is read twice: pass a stored table.
+    ``metrics`` is read twice: pass a stored table.
     """
     names = available_metrics(metrics, wanted or grain.metrics)
     ids = [*slice_cols, *grain.keys]
     wide = valid_events(metrics, grain).selectExpr(*ids, *[f"CAST({m} AS DOUBLE) AS {m}" for m in names])
     entities = wide.select(*ids, F.array(*names).alias("_values"))
-    few = top_n <= int(metrics.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if few and _is_large(metrics):
-        entities = _above_floors(entities, _floors(wide, names, grain, top_n, slice_cols), slice_cols)
+    entities = _above_floors(entities, _floors(wide, names, grain, top_n, slice_cols), slice_cols)
     labels = F.array(*[F.lit(m) for m in names])
     values = (
         entities.select(*ids, F.posexplode("_values").alias("_position", "metric_value"))
         .where("metric_value IS NOT NULL")
         .select(*ids, F.get(labels, F.col("_position")).alias("selection_metric"), "metric_value")
     )
-    group = [*slice_cols, "selection_metric"]
-    if not few:
-        sharded = values.withColumn("_shard", F.pmod(F.xxhash64(*grain.keys), F.lit(_SHARDS)))
-        values = _leaders(sharded, [*group, "_shard"], grain, top_n).drop("_shard", "metric_rank")
-    return _leaders(values, group, grain, top_n)
+    return _leaders(values, [*slice_cols, "selection_metric"], grain, top_n)
 
 
 def _floors(wide: DataFrame, names: Sequence[str], grain: Grain, top_n: int, slice_cols: Sequence[str]) -> DataFrame:
@@ -90,9 +72,9 @@ def _above_floors(entities: DataFrame, floors: DataFrame, slice_cols: Sequence[s
     event types it never had.
     """
     if slice_cols:
-        # Stored, so that the planner knows the size: one small row per slice is broadcast,
-        # and only a very long history makes it shuffle the entities instead.
-        bounded = join_slices(entities, stage(floors), slice_cols)
+        # One small row per slice: AQE broadcasts them by their measured size, and only a very
+        # long history makes it shuffle the entities instead.
+        bounded = join_slices(entities, floors, slice_cols)
     else:
         bounded = entities.select("*", floors.scalar().alias("_floors"))
     reached = F.expr("zip_with(_values, _floors, (v, f) -> CASE WHEN v >= coalesce(f, v) THEN v END)")
@@ -122,7 +104,4 @@ def select_candidates(
         .groupBy(*ids)
         .agg(F.array_sort(F.collect_set("selection_metric")).alias("selection_reasons"))
     )
-    if _is_large(metrics):
-        # Stored for its size as well: joined by broadcast if small, and the wide rows stay put.
-        reasons = stage(reasons)
     return join_slices(metrics, reasons, slice_cols, grain.keys)

@@ -112,8 +112,15 @@ def repo_event_type(mart: DataFrame, by: Slices = ()) -> DataFrame:
 
 def repo_top_100(mart: DataFrame, by: Slices = ()) -> DataFrame:
     columns = [
-        *("repo_id", "repo_full_name", "owner_login", "language", "total_events"),
-        *("unique_actors", "composite_score", "stargazers_count", "forks_count"),
+        "repo_id",
+        "repo_full_name",
+        "owner_login",
+        "language",
+        "total_events",
+        "unique_actors",
+        "composite_score",
+        "stargazers_count",
+        "forks_count",
     ]
     return _top(mart, by, "repo_id", columns)
 
@@ -172,8 +179,15 @@ def org_verified(mart: DataFrame, by: Slices = ()) -> DataFrame:
 
 def org_top_100(mart: DataFrame, by: Slices = ()) -> DataFrame:
     columns = [
-        *("org_id", "org_login", "org_name", "location", "public_repos"),
-        *("followers", "repos_count", "total_events", "composite_score"),
+        "org_id",
+        "org_login",
+        "org_name",
+        "location",
+        "public_repos",
+        "followers",
+        "repos_count",
+        "total_events",
+        "composite_score",
     ]
     return _top(mart, by, "org_id", columns)
 
@@ -182,9 +196,13 @@ def org_top_100(mart: DataFrame, by: Slices = ()) -> DataFrame:
 
 
 def _with_owner(repos: DataFrame, orgs: DataFrame, by: Slices, attributes: Sequence[Column]) -> DataFrame:
-    """Left join on the owner's login; repositories without owner stay, unmatched."""
+    """Left join on the owner's login; repositories without owner stay, unmatched.
+
+    Those don't go through the join: their common null key would bring them into one task.
+    """
     owners = orgs.select(*by, F.col("org_login").alias("owner_login"), *attributes)
-    return repos.join(owners, [*by, "owner_login"], "left")
+    owned = repos.where("owner_login IS NOT NULL").join(owners, [*by, "owner_login"], "left")
+    return owned.unionByName(repos.where("owner_login IS NULL"), allowMissingColumns=True)
 
 
 def _per_owner(repos: DataFrame, by: Slices, *more: str) -> DataFrame:

@@ -156,23 +156,22 @@ def errors(responses: DataFrame, grain: Grain) -> DataFrame:
 
 
 def require_no_fatal(responses: DataFrame, shown: int = 5) -> None:
-    """Raise, before anything is written, if any answer is neither found nor gone."""
+    """Raise, before anything is written, if any answer is neither found nor gone.
+
+    All statuses decide which error it is; ``shown`` only shortens its text.
+    """
     fatal = _routed(responses, FATAL_ROUTE)
-    worst = (
-        fatal.groupBy("status_code")
-        .agg(F.count("*").alias("answers"), F.min("entity").alias("entity"))
-        .orderBy(F.desc("answers"), "status_code")
-        .limit(shown)
-        .collect()
-    )
-    if not worst:
+    by_status = fatal.groupBy("status_code").agg(F.count("*").alias("answers"), F.min("entity").alias("entity"))
+    refused = F.col("status_code").isin(403, 429)
+    total = by_status.agg(F.sum("answers").alias("answers"), F.coalesce(F.bool_or(refused), F.lit(False)).alias("refused")).first()
+    if not total.answers:
         return
-    limited = [r.status_code for r in worst if r.status_code in (403, 429)]
+    worst = by_status.orderBy(F.desc("answers"), "status_code").limit(shown).collect()
     text = "; ".join(f"status {r.status_code}: {r.answers} answers, such as {r.entity}" for r in worst)
-    if limited:
-        sample = fatal.where(F.col("status_code").isin(limited)).orderBy("entity").first()
+    if total.refused:
+        sample = fatal.where(refused).orderBy("entity").first()
         raise RateLimited(
-            f"{text}; {sample.entity}: remaining={sample.remaining}, "
+            f"{text}; status {sample.status_code} for {sample.entity}: remaining={sample.remaining}, "
             f"retry_after={sample.retry_after}, reset_at={sample.reset_at}"
         )
     raise EnrichmentFailed(text)
@@ -181,6 +180,11 @@ def require_no_fatal(responses: DataFrame, shown: int = 5) -> None:
 def pending(candidates: DataFrame, responses: DataFrame, grain: Grain, slice_cols: Sequence[str] = SLICE) -> DataFrame:
     """Candidates still to be asked for; only an answer of 200 settles an entity."""
     done = _routed(responses, SNAPSHOT_ROUTE).select(F.col("entity").alias(grain.label), *slice_cols)
+    return unsettled(candidates, done, grain, slice_cols)
+
+
+def unsettled(candidates: DataFrame, done: DataFrame, grain: Grain, slice_cols: Sequence[str] = SLICE) -> DataFrame:
+    """Candidates of which ``done``, such as the stored snapshots, has no row in their slice."""
     return candidates.join(done, [grain.label, *slice_cols], "left_anti")
 
 

@@ -16,6 +16,7 @@ from forgelens.operators.candidates import metric_leaders, select_candidates
 from forgelens.operators.flatten import flatten_events, with_event_slice
 from forgelens.operators.marts import build_mart, latest_per_key, match_rate, project_contract
 from forgelens.operators.metrics import entity_metrics, valid_events
+from forgelens.plans.slices import Layout, enrich
 from forgelens.sources import driver_tables as tables
 from forgelens.sources.raw import calendar_of, in_slices, read_raw_events
 from forgelens.sources.staging import shared_dir, stage
@@ -23,14 +24,15 @@ from forgelens.sources.warehouse import write_bucketed, write_slices
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Parameters the oracle shares. Organizations are few, so fewer of them are selected.
-TOP_N = {"repo": 25, "org": 5}
-SLICED_TOP_N = {"repo": 3, "org": 2}
+# Parameters the oracle shares: the deployed number of candidates, and a small one for queries
+# that show the ranking bite where few entities compete.
+TOP_N = 25
+SMALL_TOP_N = 3
 AS_OF = date(2001, 8, 8)
-FIRST_DAY, LAST_DAY = date(2024, 1, 1), date(2024, 1, 30)
+FIRST_DAY, LAST_DAY = date(2024, 1, 8), date(2024, 1, 21)
 ONE_SLICE = (date(2024, 1, 15), 12)
 SPARSE_METRICS = ("total_events", "bot_ratio", "stars_gained", "repos_count")
-PAGE_TOP_N = 25
+PAGE_TOP_N = 10
 WHOLE: tuple[str, ...] = ()
 DAY = ("dt",)
 
@@ -55,12 +57,8 @@ def _snapshot(spark: SparkSession, sf: str, grain: Grain) -> DataFrame:
     return tables.repo_snapshot(spark, sf) if grain is REPO else tables.org_snapshot(spark, sf)
 
 
-def _top_n(grain: Grain, by: tuple[str, ...]) -> int:
-    return (SLICED_TOP_N if by else TOP_N)[grain.name]
-
-
 def _candidates(spark: SparkSession, sf: str, grain: Grain, by: tuple[str, ...]) -> DataFrame:
-    return select_candidates(stage(_metrics(spark, sf, grain, by)), grain, _top_n(grain, by), slice_cols=by)
+    return select_candidates(stage(_metrics(spark, sf, grain, by)), grain, TOP_N, slice_cols=by)
 
 
 def _mart(spark: SparkSession, sf: str, grain: Grain, by: tuple[str, ...]) -> DataFrame:
@@ -92,8 +90,16 @@ def _(spark, sf):
 def _(spark, sf):
     flat = flatten_events(_written_raw(spark, sf))
     optional = (
-        *("payload_action", "payload_ref_type", "pull_request_id", "pull_request_merged"),
-        *("issue_id", "comment_id", "release_id", "member_id", "org_id", "org_url"),
+        "payload_action",
+        "payload_ref_type",
+        "pull_request_id",
+        "pull_request_merged",
+        "issue_id",
+        "comment_id",
+        "release_id",
+        "member_id",
+        "org_id",
+        "org_url",
     )
     return flat.groupBy("event_type").agg(
         F.count("*").alias("events"), *[F.count(c).alias(f"with_{c}") for c in optional]
@@ -111,6 +117,18 @@ def _(spark, sf):
     )
 
 
+@query("slice_emptied")
+def _(spark, sf):
+    """An hour that comes out empty is cleared, the others stay."""
+    metrics = stage(_metrics(spark, sf, REPO, SLICE))
+    path = shared_dir(spark)
+    write_slices(metrics, path)
+    write_slices(metrics.where(F.lit(False)), path, owned=[ONE_SLICE])
+    return spark.read.parquet(path).groupBy(*SLICE).agg(
+        F.count("*").alias("entities"), F.sum("total_events").alias("total_events")
+    )
+
+
 @query("slice_filter")
 def _(spark, sf):
     path = shared_dir(spark)
@@ -179,11 +197,15 @@ def _metric_queries(grain: Grain) -> None:
     def _(spark, sf):
         return _metrics(spark, sf, grain, WHOLE).select(*grain.keys, *SCORES)
 
+    @query(f"{grain.name}_metric_topn_small")
+    def _(spark, sf):
+        return metric_leaders(stage(_metrics(spark, sf, grain, SLICE)), grain, SMALL_TOP_N)
+
     for suffix, by in (("", WHOLE), ("_hourly", SLICE)):
 
         @query(f"{grain.name}_metric_topn{suffix}")
         def _(spark, sf, by=by):
-            return metric_leaders(stage(_metrics(spark, sf, grain, by)), grain, _top_n(grain, by), slice_cols=by)
+            return metric_leaders(stage(_metrics(spark, sf, grain, by)), grain, TOP_N, slice_cols=by)
 
         @query(f"{grain.name}_candidates{suffix}")
         def _(spark, sf, by=by):
@@ -202,15 +224,19 @@ _metric_queries(ORG)
 def _(spark, sf):
     metrics = stage(_metrics(spark, sf, ORG, WHOLE).drop("repos_count"))
     return _show_reasons(
-        select_candidates(metrics, ORG, TOP_N["org"], wanted=SPARSE_METRICS, slice_cols=WHOLE)
+        select_candidates(metrics, ORG, SMALL_TOP_N, wanted=SPARSE_METRICS, slice_cols=WHOLE)
     ).select(*ORG.keys, "selection_reasons")
 
 
 # --- profiles -----------------------------------------------------------------------
 
 for _name in (
-    *("event_types_present", "event_type_pivot", "repo_actor_counts"),
-    *("event_null_profile", "distinct_repos", "repo_bot_suffix"),
+    "event_types_present",
+    "event_type_pivot",
+    "repo_actor_counts",
+    "event_null_profile",
+    "distinct_repos",
+    "repo_bot_suffix",
 ):
     QUERIES[_name] = lambda spark, sf, build=getattr(profile, _name): round_doubles(
         build(tables.events_flat(spark, sf))
@@ -297,6 +323,19 @@ def _(spark, sf):
     return enrichment.snapshots(_responses(spark, sf, ORG), ORG)
 
 
+@query("enrich_resume")
+def _(spark, sf):
+    """Two loads, the second with what the first left open: the same as one load."""
+    responses, layout = stage(_responses(spark, sf, REPO)), Layout(shared_dir(spark))
+    first = F.pmod(F.xxhash64("entity"), F.lit(3)) > 0
+    nobody = responses.where(F.lit(False))
+    enrich(spark, layout, responses.where(first), nobody)
+    stored = spark.read.parquet(layout.path("bronze", "repo_snapshot")).select(F.col("repo_full_name").alias("entity"), *SLICE)
+    enrich(spark, layout, responses.join(stored, ["entity", *SLICE], "left_anti").select(responses.columns), nobody)
+    contract = enrichment.snapshots(responses, REPO)
+    return spark.read.parquet(layout.path("bronze", "repo_snapshot")).select(contract.columns)
+
+
 @query("enrich_errors")
 def _(spark, sf):
     return enrichment.errors(_responses(spark, sf, REPO), REPO)

@@ -7,18 +7,20 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from forgelens.contracts import CORRUPT, RAW_EVENT, SLICE
 from forgelens.functions.expressions import slice_start
+from forgelens.sources.staging import file_names, slice_dir
 
 
 def read_raw_events(
-    spark: SparkSession, paths: str | Sequence[str], base_path: str | None = None, spread: bool = True
+    spark: SparkSession, paths: str | Sequence[str], base_path: str | None = None, spread: bool = False
 ) -> DataFrame:
     """Newline-delimited JSON, plain or gzip, against the fixed raw schema.
 
-    A gzip file is one task however large it is, so by default the parsed rows are
-    redistributed (AQE picks the number of partitions). ``base_path`` keeps ``dt=/hr=``
+    A gzip file is one task however large it is; ``spread`` redistributes the parsed rows, for
+    work on them that doesn't shuffle by itself. ``base_path`` keeps ``dt=/hr=``
     directory names as columns when single directories are listed.
     """
     reader = spark.read.schema(RAW_EVENT).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
@@ -29,10 +31,21 @@ def read_raw_events(
     return raw.hint("rebalance") if spread else raw
 
 
-def read_slices(spark: SparkSession, root: str, slices: Iterable[tuple[date, int]] | None = None) -> DataFrame:
-    """A ``dt=/hr=`` table, restricted to the given slices by partition pruning."""
-    table = spark.read.parquet(root)
-    return table if slices is None else table.where(in_slices(slices))
+def read_slices(
+    spark: SparkSession, root: str, slices: Iterable[tuple[date, int]] | None = None, schema: StructType | None = None
+) -> DataFrame:
+    """A ``dt=/hr=`` table, or the given slices of it.
+
+    Their directories are named, so a long history is not listed for a few of its slices;
+    those that don't exist are empty. ``schema`` is that of a table without any of them.
+    """
+    if slices is None:
+        return spark.read.parquet(root)
+    slices = list(slices)
+    paths = [p for p in (slice_dir(root, day, hour) for day, hour in slices) if file_names(spark, p)]
+    if not paths:
+        return spark.read.parquet(root).where(F.lit(False)) if schema is None else spark.createDataFrame([], schema)
+    return spark.read.option("basePath", root).parquet(*paths).where(in_slices(slices))
 
 
 def in_slices(slices: Iterable[tuple[date, int]]) -> Column:

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+_open: list[list[str]] = []  # folders made since each open ``staging`` block began
+
 
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder name below ``spark.checkpoint.dir``.
@@ -19,7 +24,42 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="forgelens-"))
         root = spark.sparkContext.getCheckpointDir()
-    return f"{root.rstrip('/')}/forgelens-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/forgelens-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
+    return path
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove what is staged inside the block when it ends, also if it fails.
+
+    For steps that store their results: frames made inside must not be read after it. A lazy
+    frame that a query returns still needs its staged tables, so queries don't use this.
+    """
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is in; nothing happens if there is none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def slice_dir(root: str, day: date, hour: int) -> str:
+    return f"{root.rstrip('/')}/dt={day.isoformat()}/hr={hour}"
+
+
+def file_names(spark: SparkSession, path: str) -> set[str]:
+    """Names of the files directly in a folder; none if it doesn't exist."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in store.listStatus(place)} if store.exists(place) else set()
 
 
 def stage(df: DataFrame) -> DataFrame:

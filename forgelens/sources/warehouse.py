@@ -2,47 +2,91 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgelens.contracts import BUCKETS, SLICE, Grain, mart_schema
 from forgelens.operators.marts import project_contract
+from forgelens.sources.staging import file_names, remove, slice_dir
 
+Slices = Sequence[tuple[date, int]]
 
-def write_slices(table: DataFrame, path: str, slice_cols: Sequence[str] = SLICE) -> None:
+
+@contextmanager
+def _emptied(spark: SparkSession, path: str, owned: Slices | None) -> Iterator[list[tuple[date, int]]]:
+    """Gathers the owned slices that the write inside the block left as they were.
+
+    Dynamic overwrite replaces all files of a slice that gets rows; a slice that still has a
+    file from before got none. Only the owned slices' directories are listed.
+    """
+    before = {s: file_names(spark, slice_dir(path, *s)) for s in owned or ()}
+    empty: list[tuple[date, int]] = []
+    yield empty
+    for day_hour, names in before.items():
+        if names & file_names(spark, slice_dir(path, *day_hour)):
+            empty.append(day_hour)
+
+
+def write_slices(table: DataFrame, path: str, slice_cols: Sequence[str] = SLICE, owned: Slices | None = None) -> None:
     """Replace the slices present in ``table`` below ``path``; all other slices stay.
 
+    Slices named in ``owned`` are replaced in any case: one that gets no rows is cleared.
+
     The rebalance hint gathers a small slice in one file and lets AQE split a large one
     over several tasks, so that neither many tiny files nor one huge task come up.
     """
-    balanced = table.hint("rebalance", *slice_cols)
-    writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*slice_cols).parquet(path)
+    spark = table.sparkSession
+    with _emptied(spark, path, owned) as empty:
+        balanced = table.hint("rebalance", *slice_cols)
+        writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*slice_cols).parquet(path)
+    for day, hour in empty:
+        remove(spark, slice_dir(path, day, hour))
 
 
-def write_bucketed(mart: DataFrame, grain: Grain, table: str, path: str, slice_cols: Sequence[str] = SLICE) -> None:
+def write_bucketed(
+    mart: DataFrame, grain: Grain, table: str, path: str, slice_cols: Sequence[str] = SLICE, owned: Slices | None = None
+) -> None:
     """Write the mart as a table partitioned by slice and bucketed by entity id.
 
-    The first call creates the table, later ones replace the slices they bring. Rows are
-    shuffled by slice and bucket, which leaves one sorted file per bucket and slice while
-    all slices are written in parallel.
+    The first call creates the table, later ones replace the slices they bring and clear the
+    ``owned`` ones that come out empty. That holds in any session: dynamic overwrite is stored
+    with the table, as ``insertInto`` takes it from there. A table without it, or at another
+    place than ``path``, is refused. Rows are shuffled by slice and bucket, which leaves one
+    sorted file per bucket and slice while all slices are written in parallel.
     """
     spark = mart.sparkSession
     buckets = BUCKETS[grain.name]
     contract = project_contract(mart, mart_schema(grain), slice_cols)
     placed = contract.repartition(*slice_cols, F.pmod(F.hash(grain.id), F.lit(buckets)))
     if spark.catalog.tableExists(table):
-        ordered = placed.select(*spark.table(table).columns)
-        ordered.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+        _require_dynamic(spark, table, path)
+        with _emptied(spark, path, owned) as empty:
+            placed.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+        for day, hour in empty:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (dt = DATE '{day.isoformat()}', hr = {hour})")
+            remove(spark, slice_dir(path, day, hour))
         return
     (
         placed.write.format("parquet")
         .option("path", path)
         .option("compression", "snappy")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*slice_cols)
         .bucketBy(buckets, grain.id)
         .sortBy(grain.id)
         .saveAsTable(table)
     )
+
+
+def _require_dynamic(spark: SparkSession, table: str, path: str) -> None:
+    about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    if "partitionoverwritemode=dynamic" not in (about.get("Storage Properties") or "").lower():
+        raise ValueError(f"{table} was not written by write_bucketed: an insert could replace all of its slices")
+    plain = lambda p: p.split(":", 1)[-1].lstrip("/").rstrip("/") if p.startswith("file:") else p.strip("/")
+    if plain(about["Location"]) != plain(path):
+        raise ValueError(f"{table} is stored at {about['Location']}, not at {path}")

@@ -22,10 +22,10 @@ from forgelens.operators import dashboards, pages
 from forgelens.plans.queries import (
     AS_OF,
     FIRST_DAY,
-    SLICED_TOP_N,
     LAST_DAY,
     ONE_SLICE,
     PAGE_TOP_N,
+    SMALL_TOP_N,
     TOP_N,
 )
 from forgelens.sources.driver_tables import COMMENT_TYPES, EVENT_TYPE_BY_SOURCE, ORG_DEBIT_LIMIT
@@ -33,14 +33,37 @@ from forgelens.sources.driver_tables import COMMENT_TYPES, EVENT_TYPE_BY_SOURCE,
 BY = {"all": (), "day": ("dt",), "hour": ("dt", "hr")}
 SNAPSHOT_COLUMNS = {
     "repo": (
-        *("repo_name", "owner_login", "owner_id", "owner_type", "language", "visibility"),
-        *("is_fork", "is_archived", "is_disabled", "stargazers_count", "forks_count", "watchers_count"),
-        *("subscribers_count", "open_issues_count", "created_at", "pushed_at"),
+        "repo_name",
+        "owner_login",
+        "owner_id",
+        "owner_type",
+        "language",
+        "visibility",
+        "is_fork",
+        "is_archived",
+        "is_disabled",
+        "stargazers_count",
+        "forks_count",
+        "watchers_count",
+        "subscribers_count",
+        "open_issues_count",
+        "created_at",
+        "pushed_at",
     ),
     "org": (
-        *("org_name", "location", "company", "blog", "email", "twitter_username", "is_verified"),
-        *("has_organization_projects", "has_repository_projects", "public_repos", "public_gists"),
-        *("followers", "following"),
+        "org_name",
+        "location",
+        "company",
+        "blog",
+        "email",
+        "twitter_username",
+        "is_verified",
+        "has_organization_projects",
+        "has_repository_projects",
+        "public_repos",
+        "public_gists",
+        "followers",
+        "following",
     ),
 }
 
@@ -207,9 +230,8 @@ def _ctes() -> dict[str, str]:
     for grain in (REPO, ORG):
         for suffix, by in BY.items():
             m, t, c = (f"{grain.name}_{kind}_{suffix}" for kind in ("metrics", "leaders", "candidates"))
-            top_n = (SLICED_TOP_N if by else TOP_N)[grain.name]
             ctes[m] = _metrics(grain, by)
-            ctes[t] = _leaders(grain, m, by, grain.metrics, top_n)
+            ctes[t] = _leaders(grain, m, by, grain.metrics, TOP_N)
             ctes[c] = _candidates(grain, m, t, by)
             ctes[f"{grain.name}_mart_{suffix}"] = _mart(grain, c)
     for suffix, by in BY.items():
@@ -359,8 +381,15 @@ def _dashboards(suffix: str) -> dict[str, str]:
             by,
             "repo_id",
             (
-                *("repo_id", "repo_full_name", "owner_login", "language", "total_events"),
-                *("unique_actors", "composite_score", "stargazers_count", "forks_count"),
+                "repo_id",
+                "repo_full_name",
+                "owner_login",
+                "language",
+                "total_events",
+                "unique_actors",
+                "composite_score",
+                "stargazers_count",
+                "forks_count",
             ),
         ),
         "org_summary": f"SELECT {summary_rounding} FROM org_summary_{suffix}",
@@ -383,8 +412,15 @@ def _dashboards(suffix: str) -> dict[str, str]:
             by,
             "org_id",
             (
-                *("org_id", "org_login", "org_name", "location", "public_repos", "followers"),
-                *("repos_count", "total_events", "composite_score"),
+                "org_id",
+                "org_login",
+                "org_name",
+                "location",
+                "public_repos",
+                "followers",
+                "repos_count",
+                "total_events",
+                "composite_score",
             ),
         ),
         "common_rollup": f"SELECT * REPLACE ({r('repo_avg_composite_score')}) FROM rollup_{suffix}",
@@ -472,6 +508,8 @@ def _metric_oracles(grain: Grain) -> dict[str, str]:
             f"SELECT * REPLACE ({r('metric_value')}, CAST(metric_rank AS INTEGER) AS metric_rank) "
             f"FROM {grain.name}_leaders_{suffix}"
         )
+        if suffix == "hour":
+            out[f"{grain.name}_metric_topn_small"] = f"{out[f'{grain.name}_metric_topn{name}']} WHERE metric_rank <= {SMALL_TOP_N}"
         for kind in ("candidates", "mart"):
             out[f"{grain.name}_{kind}{name}"] = (
                 f"SELECT * EXCLUDE (reasons) REPLACE ({replace}) FROM {grain.name}_{kind}_{suffix}"
@@ -571,13 +609,15 @@ def _others() -> dict[str, str]:
     }
     keys = ("repo_id", "repo_full_name", "org_id", "org_login")
     pivots = ", ".join(f"count(*) FILTER (WHERE event_type = '{t}') AS {t}" for t in EVENT_TYPES)
-    sparse = _leaders(ORG, "org_metrics_all", (), ("total_events", "bot_ratio"), TOP_N["org"])
+    sparse = _leaders(ORG, "org_metrics_all", (), ("total_events", "bot_ratio"), SMALL_TOP_N)
     valid_repo = _valid(REPO)
     return {
         "raw_flatten_roundtrip": "SELECT * FROM flat",
         "raw_flatten_sparse_payload": f"SELECT event_type, count(*) AS events, {filled} FROM flat GROUP BY event_type",
         "slice_overwrite_idempotent": "SELECT dt, count(*) AS entities, CAST(sum(total_events) AS BIGINT) AS total_events "
         "FROM repo_metrics_day GROUP BY dt",
+        "slice_emptied": "SELECT dt, hr, count(*) AS entities, CAST(sum(total_events) AS BIGINT) AS total_events "
+        f"FROM repo_metrics_hour WHERE dt <> DATE '{day}' OR hr <> {hour} GROUP BY dt, hr",
         "slice_filter": f"SELECT event_id, event_type, repo_id, dt, hr FROM flat WHERE dt = DATE '{day}' AND hr = {hour}",
         "slice_calendar_coverage": "SELECT CAST(h AS DATE) AS dt, CAST(hour(h) AS INTEGER) AS hr, count(f.created_at) AS events "
         "FROM (SELECT unnest(generate_series(date_trunc('hour', min(created_at)), date_trunc('hour', max(created_at)), "
@@ -627,6 +667,7 @@ def _others() -> dict[str, str]:
         "ELSE CASE WHEN c_acctbal < 0 THEN 500 ELSE 429 END END AS status_code FROM customer) GROUP BY status_code",
         "enrich_repo_snapshot": split["repo_snapshot"],
         "enrich_org_snapshot": split["org_snapshot"],
+        "enrich_resume": split["repo_snapshot"],
         "enrich_errors": split["repo_snapshot_errors"],
         "enrich_org_errors": split["org_snapshot_errors"],
         "enrich_repo_topics": split["repo_topics"],

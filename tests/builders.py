@@ -21,10 +21,10 @@ def events(spark, rows):
     defaults = {
         "event_type": "PushEvent",
         "created_at": datetime(2026, 3, 20, 21, 0),
-        "repo_id": 101,
-        "repo_full_name": "acme/core",
+        "repo_id": 7311,
+        "repo_full_name": "lantern/wick",
         "actor_id": 1,
-        "actor_login": "alice",
+        "actor_login": "marlow",
         "is_public": True,
         "dt": DAY,
         "hr": 21,

@@ -6,60 +6,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from builders import DAY, ORG, REPO, SLICE, by, events, metrics
-from forgelens.operators import candidates
 from forgelens.operators.candidates import metric_leaders, select_candidates
 from forgelens.operators.metrics import entity_metrics
 from forgelens.sources.staging import stage
 from test_metrics import random_events
 
 
-def test_repositories_that_lead_on_some_metric(spark):
-    frame = metrics(
-        spark,
-        REPO,
-        [
-            {"repo_id": 1, "repo_full_name": "acme/core", "base": 10},
-            {"repo_id": 2, "repo_full_name": "acme/ui", "base": 5, "watch_events": 20, "watch_events_ratio": 20.0},
-            {"repo_id": 3, "repo_full_name": "acme/data", "base": 1, "fork_events": 30, "fork_events_ratio": 30.0},
-            {"repo_id": 4, "repo_full_name": "invalid-name", "base": 1000},
-            {"repo_id": None, "repo_full_name": None, "base": 2000},
-        ],
-    )
-    rows = by(select_candidates(frame, REPO, 1).collect(), "repo_id")
-    assert sorted(rows) == [1, 2, 3]
-    assert rows[1]["total_events"] == 10
-    assert {"total_events", "composite_score"} <= set(rows[1]["selection_reasons"])
-    assert len(rows[1]["selection_reasons"]) == 38
-    assert rows[2]["selection_reasons"] == ["watch_events", "watch_events_ratio"]
-    assert rows[3]["selection_reasons"] == ["fork_events", "fork_events_ratio"]
-
-
-def test_organizations_are_ranked_on_repositories_too(spark):
-    frame = metrics(
-        spark,
-        ORG,
-        [
-            {"org_id": 10, "org_login": "acme", "base": 10},
-            {
-                "org_id": 20,
-                "org_login": "globex",
-                "base": 5,
-                "repos_count": 50,
-                "watch_events": 20,
-                "watch_events_ratio": 20.0,
-            },
-            {"org_id": 30, "org_login": "initech", "base": 1, "fork_events": 30, "fork_events_ratio": 30.0},
-            {"org_id": None, "org_login": None, "base": 1000},
-        ],
-    )
-    rows = by(select_candidates(frame, ORG, 1).collect(), "org_id")
-    assert sorted(rows) == [10, 20, 30]
-    assert rows[20]["selection_reasons"] == ["repos_count", "watch_events", "watch_events_ratio"]
-
-
 def test_only_metrics_the_table_has(spark):
     present = ("total_events", "bot_events", "push_events_ratio", "repos_count")
-    frame = metrics(spark, ORG, [{"org_id": 10, "org_login": "acme", "base": 1}]).select(*SLICE, *ORG.keys, *present)
+    frame = metrics(spark, ORG, [{"org_id": 10, "org_login": "lantern", "base": 1}]).select(*SLICE, *ORG.keys, *present)
     (row,) = select_candidates(frame, ORG, 1).collect()
     assert row.selection_reasons == sorted(present)
 
@@ -104,10 +59,8 @@ def brute_force(rows, grain, top_n):
 
 
 @pytest.mark.parametrize("grain", [REPO, ORG], ids=["repo", "org"])
-@pytest.mark.parametrize("size", [0, 2**80], ids=["large", "small"])
-@pytest.mark.parametrize("limit", ["1000", "1"], ids=["group limit", "sharded"])
-def test_against_brute_force(spark, monkeypatch, grain, limit, size):
-    monkeypatch.setattr(candidates, "_WORTH_PRUNING", size)
+@pytest.mark.parametrize("limit", ["1000", "1"], ids=["group limit", "no group limit"])
+def test_against_brute_force(spark, grain, limit):
     table = stage(entity_metrics(events(spark, random_events(11, 300)), grain))
     expected = brute_force([r.asDict() for r in table.collect()], grain, 2)
     spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", limit)
@@ -132,23 +85,24 @@ def test_many_slices_equal_single_slices(spark):
 
 
 @pytest.mark.parametrize("slices", [(), ("dt",)], ids=["whole", "daily"])
-def test_floors_never_cost_a_leader(spark, monkeypatch, slices):
-    """Heavy ties, few entities, many places: the pruned ranking equals the plain one."""
-    monkeypatch.setattr(candidates, "_WORTH_PRUNING", 0)
+def test_floors_never_cost_a_leader(spark, slices):
+    """Heavy ties, few entities, many places: the ranking equals that of sorted rows."""
     rows = [
         {"repo_id": i, "repo_full_name": f"a/{i}", "base": i % 3, "push_events": i, "watch_events": None, "hr": 0}
         for i in range(60)
     ]
     table = metrics(spark, REPO, rows + [{**r, "dt": date(2026, 3, 21)} for r in rows[:4]])
     table = table.groupBy(*slices, *REPO.keys).agg(*[F.max(m).alias(m) for m in REPO.metrics])
+    stored = [r.asDict() for r in table.collect()]
     for top_n in (1, 5, 59, 60, 200):
-        pruned = metric_leaders(table, REPO, top_n, slice_cols=slices).collect()
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "0")
-        try:
-            plain = metric_leaders(table, REPO, top_n, slice_cols=slices).collect()
-        finally:
-            spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
-        assert sorted(map(str, pruned)) == sorted(map(str, plain))
+        found = sorted((*(r[c] for c in slices), r.selection_metric, r.metric_rank, r.repo_id) for r in metric_leaders(table, REPO, top_n, slice_cols=slices).collect())
+        wanted = []
+        for group in {tuple(r[c] for c in slices) for r in stored}:
+            for metric in REPO.metrics:
+                members = [r for r in stored if tuple(r[c] for c in slices) == group and r[metric] is not None]
+                ranked = sorted(members, key=lambda r: (-r[metric], r["repo_id"]))[:top_n]
+                wanted += [(*group, metric, k + 1, r["repo_id"]) for k, r in enumerate(ranked)]
+        assert found == sorted(wanted)
 
 
 def test_rows_without_a_slice_are_ranked_among_themselves(spark):
@@ -157,10 +111,6 @@ def test_rows_without_a_slice_are_ranked_among_themselves(spark):
     assert sorted((str(r.dt), r.repo_id) for r in got) == [("2026-03-20", 2), ("None", 2)]
 
 
-def test_size_of_a_stored_table_is_known(spark):
-    assert not candidates._is_large(stage(metrics(spark, REPO, [])))
-
-
 def test_rows_are_cut_before_the_shuffle(spark, plan_of):
     plan = plan_of(metric_leaders(metrics(spark, REPO, []), REPO, 25))
     assert plan.count("WindowGroupLimit") == 2

@@ -11,9 +11,9 @@ from forgelens.operators import enrichment as e
 
 REPO_PAYLOAD = {
     "id": 1,
-    "full_name": "acme/core",
+    "full_name": "lantern/wick",
     "name": "core",
-    "owner": {"login": "acme", "id": 9, "type": "Organization"},
+    "owner": {"login": "lantern", "id": 9, "type": "Organization"},
     "license": None,
     "language": "Go",
     "fork": False,
@@ -30,20 +30,20 @@ def answer(entity, status=200, payload=None, **more):
 
 def test_repository_snapshot(spark):
     licensed = {**REPO_PAYLOAD, "id": 2, "license": {"spdx_id": "MIT"}}
-    frame = responses(spark, [answer("acme/core", payload=REPO_PAYLOAD), answer("x/y", payload=licensed), answer("gone/x", 404)])
+    frame = responses(spark, [answer("lantern/wick", payload=REPO_PAYLOAD), answer("x/y", payload=licensed), answer("gone/x", 404)])
     got = e.snapshots(frame, REPO)
     assert {f.name: f.dataType for f in got.schema} == {f.name: f.dataType for f in REPO_SNAPSHOT}
     rows = by(got.collect(), "repo_id")
     assert sorted(rows) == [1, 2]
-    assert (rows[1]["owner_login"], rows[1]["owner_id"], rows[1]["license_spdx_id"]) == ("acme", 9, None)
+    assert (rows[1]["owner_login"], rows[1]["owner_id"], rows[1]["license_spdx_id"]) == ("lantern", 9, None)
     assert rows[2]["license_spdx_id"] == "MIT"
     assert rows[1]["created_at"] == datetime(2020, 1, 2, 3, 4, 5)
     assert (rows[1]["pushed_at"], rows[1]["api_fetched_at"]) == (None, datetime(2026, 3, 20, 21, 5))
 
 
 def test_organization_snapshot(spark):
-    payload = {"id": 3, "login": "acme", "name": "Acme", "is_verified": True, "followers": 7}
-    got = e.snapshots(responses(spark, [answer("acme", payload=payload)]), ORG)
+    payload = {"id": 3, "login": "lantern", "name": "Acme", "is_verified": True, "followers": 7}
+    got = e.snapshots(responses(spark, [answer("lantern", payload=payload)]), ORG)
     assert {f.name: f.dataType for f in got.schema} == {f.name: f.dataType for f in ORG_SNAPSHOT}
     row = got.first()
     assert (row.org_id, row.org_name, row.is_verified, row.followers, row.blog) == (3, "Acme", True, 7, None)
@@ -96,3 +96,10 @@ def test_only_found_entities_are_settled(spark):
 def test_owner_and_name(spark):
     frame = spark.createDataFrame([("a/b",), ("a/b/c",)], "repo_full_name string").select(*e.owner_and_name())
     assert sorted(map(tuple, frame.collect())) == [("a", "b"), ("a", "b/c")]
+
+
+def test_a_rate_limit_shows_whatever_else_fails(spark):
+    codes = [code for code in (401, 500, 501, 502, 503) for _ in range(2)] + [429]
+    frame = responses(spark, [{"entity": f"a/{k}", "status_code": code} for k, code in enumerate(codes)])
+    with pytest.raises(e.RateLimited, match="429"):
+        e.require_no_fatal(frame)

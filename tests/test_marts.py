@@ -12,15 +12,15 @@ def snapshot(spark, schema, rows):
 
 
 def test_repository_keeps_one_copy_of_shared_columns(spark):
-    candidates = metrics(spark, REPO, [{"repo_id": 1, "repo_full_name": "acme/core", "base": 3}])
+    candidates = metrics(spark, REPO, [{"repo_id": 1, "repo_full_name": "lantern/wick", "base": 3}])
     found = snapshot(
-        spark, REPO_SNAPSHOT, [{"repo_id": 1, "repo_full_name": "acme/renamed", "language": "Go", "dt": DAY, "hr": 10}]
+        spark, REPO_SNAPSHOT, [{"repo_id": 1, "repo_full_name": "lantern/renamed", "language": "Go", "dt": DAY, "hr": 10}]
     )
     mart = build_mart(candidates, found, REPO, ())
     assert len(mart.columns) == len(set(mart.columns))
     assert not {"dt", "hr"} & set(mart.columns)
     (row,) = mart.collect()
-    assert (row.repo_full_name, row.language, row.total_events) == ("acme/core", "Go", 3)
+    assert (row.repo_full_name, row.language, row.total_events) == ("lantern/wick", "Go", 3)
 
 
 def test_organization_without_snapshot_stays(spark):

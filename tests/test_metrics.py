@@ -19,22 +19,22 @@ def test_event_columns():
 
 def test_repositories(spark):
     rows = [
-        {"pull_request_merged": True, "issue_id": 9001, "comment_id": 9101, "release_id": 9201},
+        {"pull_request_merged": True, "issue_id": 41, "comment_id": 52, "release_id": 63},
         {
             "event_type": "IssuesEvent",
             "is_public": False,
             "actor_id": 2,
             "actor_login": "helper[BOT]",
-            "issue_id": 9002,
+            "issue_id": 44,
             "created_at": datetime(2026, 3, 20, 21, 30),
         },
-        {"repo_id": 202, "repo_full_name": "invalid-name"},
+        {"repo_id": 8422, "repo_full_name": "invalid-name"},
         {"repo_id": None, "repo_full_name": None},
     ]
     (row,) = entity_metrics(events(spark, rows), REPO).collect()
     expected = {
-        "repo_id": 101,
-        "repo_full_name": "acme/core",
+        "repo_id": 7311,
+        "repo_full_name": "lantern/wick",
         "total_events": 2,
         "public_events_count": 1,
         "unique_actors": 2,
@@ -58,9 +58,9 @@ def test_repositories(spark):
 
 
 def test_organizations(spark):
-    org = {"org_id": 501, "org_login": "acme"}
+    org = {"org_id": 501, "org_login": "lantern"}
     rows = [
-        {**org, "repo_id": 101},
+        {**org, "repo_id": 7311},
         {**org, "repo_id": 102, "event_type": "WatchEvent", "actor_id": 2, "actor_login": "bob"},
         {"repo_id": 103},
     ]
@@ -90,7 +90,7 @@ def test_missing_actor_and_flags(spark):
 
 
 def test_renamed_repository_is_two_entities(spark):
-    frame = events(spark, [{}, {"repo_full_name": "acme/renamed"}])
+    frame = events(spark, [{}, {"repo_full_name": "lantern/renamed"}])
     assert entity_metrics(frame, REPO).count() == 2
 
 

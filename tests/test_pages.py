@@ -32,7 +32,10 @@ def test_missing_text_gets_its_default(spark):
     assert (row.language, row.repo_full_name, row.visibility) == ("Unknown", "Unknown repository", None)
     (row,) = org_page(spark, [{"org_login": None}]).collect()
     assert (row.org_login, row.org_name, row.location, row.company) == (
-        *("Unknown organization", "Unknown organization", "Unknown", "Unknown"),
+        "Unknown organization",
+        "Unknown organization",
+        "Unknown",
+        "Unknown",
     )
 
 

@@ -19,8 +19,11 @@ SAMPLE = [
     "mart_contract_projection",
     "event_type_pivot",
     "enrich_repo_snapshot",
+    "enrich_resume",
     "enrich_org_errors",
     "enrich_repo_topics",
+    "slice_emptied",
+    "org_metric_topn_small",
     "dash_repo_top_100_hourly",
     "dash_common_rollup",
     "dash_common_language_location_hourly",
@@ -38,8 +41,8 @@ def database():
 
 
 def test_every_query_has_an_oracle():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
-    assert len(contract.queries()) >= 79
+    assert contract.queries().keys() - contract.LLM_QUERIES.keys() == contract.oracle_sql().keys() - contract.LLM_ORACLES.keys()
+    assert contract.LLM_ORACLES.keys() <= contract.LLM_QUERIES.keys()
 
 
 @pytest.mark.parametrize("name", SAMPLE)

@@ -104,3 +104,32 @@ def test_a_cluster_must_name_its_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Session())
+
+
+def test_owned_slices_without_rows_are_cleared(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_slices(metrics(spark, REPO, rows((DAY, 0), (DAY, 1), (NEXT, 0))), path)
+    write_slices(metrics(spark, REPO, rows((DAY, 0), base=5)), path, owned=[(DAY, 0), (DAY, 1), (NEXT, 5)])
+    got = spark.read.parquet(path).groupBy("dt", "hr").sum("total_events").collect()
+    assert {(r.dt, r.hr): r[2] for r in got} == {(DAY, 0): 15, (NEXT, 0): 3}
+
+
+def test_bucketed_slices_stay_in_a_static_session(spark, tmp_path):
+    table, path = "bucketed_static", str(tmp_path / "b")
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "static")
+    try:
+        write_bucketed(metrics(spark, REPO, rows((DAY, 0), (DAY, 1), (NEXT, 0))), REPO, table, path)
+        write_bucketed(metrics(spark, REPO, rows((DAY, 1), base=7, n=2)), REPO, table, path, owned=[(DAY, 1), (NEXT, 0)])
+        got = spark.table(table).groupBy("dt", "hr").sum("total_events").collect()
+        assert {(r.dt, r.hr): r[2] for r in got} == {(DAY, 0): 3, (DAY, 1): 14}
+        with pytest.raises(ValueError, match="stored at"):
+            write_bucketed(metrics(spark, REPO, rows((DAY, 1))), REPO, table, str(tmp_path / "other"))
+        metrics(spark, REPO, rows((DAY, 1))).write.saveAsTable("not_bucketed")
+        with pytest.raises(ValueError, match="not written by write_bucketed"):
+            write_bucketed(metrics(spark, REPO, rows((DAY, 1))), REPO, "not_bucketed", path)
+    finally:
+        spark.conf.set(mode, before)
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql("DROP TABLE IF EXISTS not_bucketed")

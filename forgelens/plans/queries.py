@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from forgelens.operators.marts import build_mart, latest_per_key, match_rate, pr
 from forgelens.operators.metrics import entity_metrics, valid_events
 from forgelens.plans.slices import Layout, enrich
 from forgelens.sources import driver_tables as tables
-from forgelens.sources.raw import calendar_of, in_slices, read_raw_events
+from forgelens.sources.raw import calendar_of, in_slices, read_raw_events, slice_calendar
 from forgelens.sources.staging import shared_dir, stage
 from forgelens.sources.warehouse import write_bucketed, write_slices
 
@@ -49,20 +49,25 @@ def query(name: str) -> Callable[[Query], Query]:
     return register
 
 
-def _metrics(spark: SparkSession, sf: str, grain: Grain, by: tuple[str, ...]) -> DataFrame:
-    return entity_metrics(tables.events_flat(spark, sf), grain, by)
+Days = tuple[date, date] | None
+
+
+def _metrics(spark: SparkSession, sf: str, grain: Grain, by: tuple[str, ...], days: Days = None) -> DataFrame:
+    """Metrics of all events, or of the days that a page shows: slices don't depend on each other."""
+    events = tables.events_flat(spark, sf)
+    return entity_metrics(events if days is None else events.where(F.col("dt").between(*days)), grain, by)
 
 
 def _snapshot(spark: SparkSession, sf: str, grain: Grain) -> DataFrame:
     return tables.repo_snapshot(spark, sf) if grain is REPO else tables.org_snapshot(spark, sf)
 
 
-def _candidates(spark: SparkSession, sf: str, grain: Grain, by: tuple[str, ...]) -> DataFrame:
-    return select_candidates(stage(_metrics(spark, sf, grain, by)), grain, TOP_N, slice_cols=by)
+def _candidates(spark: SparkSession, sf: str, grain: Grain, by: tuple[str, ...], days: Days = None) -> DataFrame:
+    return select_candidates(stage(_metrics(spark, sf, grain, by, days)), grain, TOP_N, slice_cols=by)
 
 
-def _mart(spark: SparkSession, sf: str, grain: Grain, by: tuple[str, ...]) -> DataFrame:
-    return build_mart(_candidates(spark, sf, grain, by), _snapshot(spark, sf, grain), grain, by)
+def _mart(spark: SparkSession, sf: str, grain: Grain, by: tuple[str, ...], days: Days = None) -> DataFrame:
+    return build_mart(_candidates(spark, sf, grain, by, days), _snapshot(spark, sf, grain), grain, by)
 
 
 def _show_reasons(df: DataFrame) -> DataFrame:
@@ -143,6 +148,14 @@ def _(spark, sf):
     return calendar_of(counts).join(counts, list(SLICE), "left").na.fill({"events": 0})
 
 
+@query("slice_calendar_range")
+def _(spark, sf):
+    """The hours of a range by the calendar, with or without events."""
+    first, last = datetime.combine(FIRST_DAY, time(0)), datetime.combine(LAST_DAY, time(23))
+    counts = tables.events_flat(spark, sf).groupBy(*SLICE).agg(F.count("*").alias("events"))
+    return slice_calendar(spark, first, last).join(counts, list(SLICE), "left").na.fill({"events": 0})
+
+
 def _bucketed(spark: SparkSession, sf: str, grain: Grain) -> DataFrame:
     """Daily mart as a bucketed table, one day written twice, then summed up per entity."""
     table = f"{grain.name}_mart_{uuid.uuid4().hex[:12]}"
@@ -418,12 +431,12 @@ _dashboard_queries()
 
 
 def _repo_page(spark: SparkSession, sf: str) -> DataFrame:
-    summary = dashboards.repo_summary(_mart(spark, sf, REPO, SLICE), SLICE)
+    summary = dashboards.repo_summary(_mart(spark, sf, REPO, SLICE, (FIRST_DAY, LAST_DAY)), SLICE)
     return pages.load_repo_summary(summary, FIRST_DAY, LAST_DAY)
 
 
 def _org_page(spark: SparkSession, sf: str) -> DataFrame:
-    summary = dashboards.org_summary(_mart(spark, sf, ORG, SLICE), SLICE)
+    summary = dashboards.org_summary(_mart(spark, sf, ORG, SLICE, (FIRST_DAY, LAST_DAY)), SLICE)
     return pages.load_org_summary(summary, FIRST_DAY, LAST_DAY)
 
 

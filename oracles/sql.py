@@ -622,6 +622,9 @@ def _others() -> dict[str, str]:
         "slice_calendar_coverage": "SELECT CAST(h AS DATE) AS dt, CAST(hour(h) AS INTEGER) AS hr, count(f.created_at) AS events "
         "FROM (SELECT unnest(generate_series(date_trunc('hour', min(created_at)), date_trunc('hour', max(created_at)), "
         "INTERVAL 1 HOUR)) AS h FROM flat) LEFT JOIN flat f ON date_trunc('hour', f.created_at) = h GROUP BY h",
+        "slice_calendar_range": "SELECT CAST(h AS DATE) AS dt, CAST(hour(h) AS INTEGER) AS hr, count(f.created_at) AS events "
+        f"FROM (SELECT unnest(generate_series(TIMESTAMP '{FIRST_DAY}', TIMESTAMP '{LAST_DAY}' + INTERVAL 23 HOUR, INTERVAL 1 HOUR)) AS h) "
+        "LEFT JOIN flat f ON date_trunc('hour', f.created_at) = h GROUP BY h",
         "bucketed_repo_mart": _bucketed(REPO),
         "bucketed_org_mart": _bucketed(ORG),
         "mart_contract_projection": _contract(REPO),

@@ -10,7 +10,9 @@
    and common prefixes, blocks of whole anchor groups at a time. Suffixes that share ``WINDOW``
    bytes stand together; all but the earliest of them are removed.
 4. An anchor with more than ``CROWD`` different cuts (a frequent line in ever new surroundings)
-   is no group of one task: its runs are cut into single windows, which are matched by content.
+   is no group of one task: its windows are parted by their distance to the anchor, first eight
+   distances at a time, then singly. Windows of a part share a longer core, which takes the
+   anchor's place, and steps 2 and 3 are done again for the parts.
 
 Nothing is left out at any size; texts travel compressed. Distinct texts are told apart by
 SHA-256, cuts by 128-bit hashes, anchors by 64-bit hashes that only propose candidates.
@@ -38,7 +40,8 @@ GRAM = 32
 CROWD = 256
 _BLOCK = 1 << 20
 _REACH = WINDOW - GRAM + 1  # grams in a window; a run has no more windows than that
-_STEP = 0x1000193  # times a place below 2 ** 38 it stays a long
+_STEP = 0x10001  # times a place below 2 ** 46 it stays a long
+_PARTS = (8, 1)
 _MIX = np.array([0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63], np.uint64)
 
 
@@ -63,8 +66,8 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def _runs(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Runs in the texts data[start:stop]: (text number, anchor hash, first window, further windows)."""
-    empty = (np.zeros(0, np.int64),) * 4
+    """Runs in the texts data[start:stop]: (text number, anchor hash, first window, further windows, way to the anchor)."""
+    empty = (np.zeros(0, np.int64),) * 5
     if len(data) < WINDOW:
         return empty
     hashes = _gram_hashes(data)
@@ -86,7 +89,7 @@ def _runs(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.n
     anchors = anchor[window]
     head = np.flatnonzero(np.append(True, (anchors[1:] != anchors[:-1]) | (text[1:] != text[:-1])))
     further = np.diff(np.append(head, total)) - 1
-    return text[head], hashes[anchors[head]].view(np.int64), window[head] - starts[text[head]], further
+    return text[head], hashes[anchors[head]].view(np.int64), window[head] - starts[text[head]], further, anchors[head] - window[head]
 
 
 def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -99,8 +102,8 @@ def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def anchors(docs: DataFrame) -> DataFrame:
-    """(h, loc, at) of every run of ``docs`` (key, text): ``at`` holds start and length, and
-    ``loc`` is ``key`` with a multiple of it, a number for the place."""
+    """(h, loc, at) of every run of ``docs`` (key, text): ``at`` holds start, length and way to
+    the anchor, and ``loc`` is ``key`` with a multiple of it, a number for the place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,8 +116,8 @@ def anchors(docs: DataFrame) -> DataFrame:
                 for a in range(int(offsets[row]), int(offsets[stop]), 8 * _BLOCK):
                     b = min(int(offsets[stop]), a + 8 * _BLOCK + WINDOW - 1)
                     bounds = np.clip(offsets[row : stop + 1], a, b) - a
-                    text, h, start, further = _runs(data[a:b], bounds[:-1], bounds[1:])
-                    at = ((start + np.maximum(a - offsets[row + text], 0)) << 7) | further
+                    text, h, start, further, way = _runs(data[a:b], bounds[:-1], bounds[1:])
+                    at = (((start + np.maximum(a - offsets[row + text], 0)) << 7 | further) << 7) | way
                     loc = keys[row + text] ^ (at * _STEP)
                     yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(loc), pa.array(at)], names=["h", "loc", "at"])
                 row = stop
@@ -133,31 +136,57 @@ def _pack(docs: DataFrame) -> DataFrame:
     return append_columns(docs, ["text"], T.StructType([T.StructField("__packed", T.BinaryType())]), rows).drop("text")
 
 
+_CUT = "h long, sid binary, doc_id long, key long, start long, further int, way int, cut binary"
+_CUT_NAMES = [c.split()[0] for c in _CUT.split(", ")]
+_CUT_TYPES = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+
+
+def _cut_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * len(_CUT_NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _CUT_TYPES, strict=True)], names=_CUT_NAMES)
+
+
 def _cuts(texts: DataFrame) -> DataFrame:
-    """The runs ``at`` of each packed text, with their bytes (each window starts inside)."""
+    """The runs of each packed text, with the bytes of their windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        names = ["h", "sid", "doc_id", "key", "start", "further", "cut"]
         for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            out: list[list] = [[] for _ in names]
-            for doc_id, key, packed, places in zip(*columns, strict=True):
+            rows = []
+            for doc_id, key, packed, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 raw = unpack(packed)
                 for place in places:
-                    start, further = place["at"] >> 7, place["at"] & 127
+                    start, further, way = place["at"] >> 14, place["at"] >> 7 & 127, place["at"] & 127
                     cut = raw[start : start + further + WINDOW]
-                    for column, value in zip(out, (place["h"], xxhash.xxh3_128_digest(cut), doc_id, key, start, further, cut), strict=True):
-                        column.append(value)
-                if len(out[0]) >= 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, _CUT_TYPES, strict=True)], names=names)
-                    out = [[] for _ in names]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, _CUT_TYPES, strict=True)], names=names)
+                    rows.append((place["h"], xxhash.xxh3_128_digest(cut), doc_id, key, start, further, way, cut))
+                if len(rows) >= 20_000:
+                    yield _cut_batch(rows)
+                    rows = []
+            yield _cut_batch(rows)
+
+    return texts.mapInArrow(run, _CUT)
 
-    return texts.mapInArrow(run, "h long, sid binary, doc_id long, key long, start long, further int, cut binary")
 
+def _parts(cuts: DataFrame, size: int) -> DataFrame:
+    """``cuts`` parted by the windows' way to the anchor, ``size`` ways to a part; h is the hash of the part's core."""
 
-_CUT_TYPES = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for doc_id, key, start, further, way, cut in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = 0
+                while at <= further:
+                    part = (way - at) // size
+                    last = min(further, way - part * size)  # the part's last window
+                    # Bytes that every window of the part has, whether or not it is in this cut.
+                    core = cut[max(0, way - part * size) : way - (part * size + size - 1) + WINDOW]
+                    piece = cut[at : last + WINDOW]
+                    h = xxhash.xxh3_64_intdigest(core, part) - (1 << 63)
+                    rows.append((h, xxhash.xxh3_128_digest(piece), doc_id, key, start + at, last - at, way - at, piece))
+                    at = last + 1
+            yield _cut_batch(rows)
+
+    return cuts.select("doc_id", "key", "start", "further", "way", "cut").mapInArrow(run, _CUT)
 
 
 def _spans_of(hit: np.ndarray) -> list[tuple[int, int]]:
@@ -220,21 +249,22 @@ def _by_sorting(cuts: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, _SPAN)
 
 
-def _by_window(cuts: DataFrame) -> DataFrame:
-    """Spans of the crowded anchors' windows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, keys, start, further, cut = (c.to_pylist() for c in batch.columns)
-            rows = [(xxhash.xxh3_128_digest(c[i : i + WINDOW]), d, k, s + i) for d, k, s, n, c in zip(ids, keys, start, further, cut, strict=True) for i in range(n + 1)]
-            columns = list(zip(*rows, strict=True)) or [[]] * 4
-            types = [pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["w", "doc_id", "key", "start"])
-
-    windows = stage(cuts.select("doc_id", "key", "start", "further", "cut").mapInArrow(run, "w binary, doc_id long, key long, start long"))
-    first = windows.groupBy("w").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = windows.join(first, "w").where(~F.struct("doc_id", "start").eqNullSafe(F.col("first")))
-    return later.select("doc_id", "key", "start", (F.col("start") + WINDOW).alias("stop"))
+def _resolved(cuts: DataFrame, parts: tuple[int, ...]) -> DataFrame:
+    """Spans of ``cuts``; groups of equal h hold all equal windows."""
+    cuts = stage(cuts)
+    place = F.struct("doc_id", "start", "key")
+    same = [F.first(c).alias(c) for c in ("further", "way", "cut")]
+    distinct = stage(cuts.groupBy("h", "sid").agg(F.min(place).alias("first"), F.count("*").alias("rows"), *same))
+    spans = (
+        cuts.select("h", "sid", "doc_id", "key", "start", "further").join(distinct.where("rows > 1").select("h", "sid", "first"), ["h", "sid"])
+        .where("not (doc_id <=> first.doc_id and start = first.start)").select("doc_id", "key", "start", F.expr(f"start + further + {WINDOW}").alias("stop"))
+    )
+    sizes = stage(distinct.groupBy("h").agg(F.count("*").alias("cuts")).where("cuts > 1"))
+    differ = distinct.join(sizes, "h").selectExpr("h", "cuts", "first.doc_id as doc_id", "first.key as key", "first.start as start", "further", "way", "cut")
+    spans = spans.unionAll(_by_sorting(differ.where(F.col("cuts") <= CROWD)))
+    if parts and not sizes.where(F.col("cuts") > CROWD).isEmpty():
+        spans = spans.unionAll(_resolved(_parts(differ.where(F.col("cuts") > CROWD), parts[0]), parts[1:]))
+    return spans
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -251,20 +281,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     # One text of each group of copies stands for all.
     chosen = stage(firsts.selectExpr("first.key as key", "first.doc_id as __id").join(places, "key"))
     texts = _pack(docs.select("doc_id", "key", "text")).join(chosen.withColumnRenamed("key", "__key"), F.expr("key = __key and doc_id <=> __id"))
-    cuts = stage(_cuts(texts.select("doc_id", "key", "__packed", "places")))
-
-    place = F.struct("doc_id", "start", "key")
-    distinct = stage(cuts.groupBy("h", "sid").agg(F.min(place).alias("first"), F.count("*").alias("rows"), F.first("further").alias("further"), F.first("cut").alias("cut")))
-    end = F.expr(f"start + further + {WINDOW}").alias("stop")
-    equal = (
-        cuts.select("h", "sid", "doc_id", "key", "start", "further").join(distinct.where("rows > 1").select("h", "sid", "first"), ["h", "sid"])
-        .where("not (doc_id <=> first.doc_id and start = first.start)").select("doc_id", "key", "start", end)
-    )
-    sizes = stage(distinct.groupBy("h").agg(F.count("*").alias("cuts")).where("cuts > 1"))
-    differ = distinct.join(sizes, "h").selectExpr("h", "cuts", "first.doc_id as doc_id", "first.key as key", "first.start as start", "further", "cut")
-    sorted_ = _by_sorting(differ.where(F.col("cuts") <= CROWD))
-    single = _by_window(differ.where(F.col("cuts") > CROWD))
-    return copies.unionAll(equal).unionAll(sorted_).unionAll(single)
+    cuts = _cuts(texts.select("doc_id", "key", "__packed", "places"))
+    return copies.unionAll(_resolved(cuts, _PARTS))
 
 
 def cut_repeats(docs: DataFrame) -> DataFrame:

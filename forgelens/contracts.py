@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
@@ -221,3 +222,154 @@ def mart_schema(grain: Grain) -> StructType:
         [f for f in SNAPSHOT[grain.name].fields if f.name not in known],
         _fields(_S, "_dlt_load_id", "_dlt_id"),
     )
+
+
+# Columns of the published dashboard tables.
+DASHBOARDS = {
+    "repositories/summary": _struct(
+        _fields(_L, "repo_id"),
+        _fields(_S, "repo_full_name", "repo_name", "owner_login", "owner_type", "language", "visibility"),
+        _fields(_B, "is_fork", "is_archived", "is_disabled"),
+        _fields(
+            _L,
+            "stargazers_count",
+            "forks_count",
+            "watchers_count",
+            "subscribers_count",
+            "open_issues_count",
+            "total_events",
+            "push_events",
+            "pull_request_events",
+            "issue_comment_events",
+            "fork_events",
+        ),
+        _fields(_D, "avg_composite_score", "avg_bot_ratio"),
+        _SLICE_FIELDS,
+    ),
+    "repositories/language": _struct(
+        _fields(_S, "language"),
+        _fields(_L, "repo_count", "total_events"),
+        _fields(_D, "avg_composite_score"),
+        _fields(_L, "total_stargazers"),
+        _SLICE_FIELDS,
+    ),
+    "repositories/owner": _struct(
+        _fields(_S, "owner_type"),
+        _fields(_L, "repo_count", "total_events"),
+        _fields(_D, "avg_composite_score"),
+        _SLICE_FIELDS,
+    ),
+    "repositories/visibility": _struct(
+        _fields(_S, "visibility"),
+        _fields(_L, "repo_count", "total_events"),
+        _SLICE_FIELDS,
+    ),
+    "repositories/fork": _struct(
+        _fields(_S, "fork_status"),
+        _fields(_L, "repo_count", "total_events"),
+        _fields(_D, "avg_composite_score"),
+        _SLICE_FIELDS,
+    ),
+    "repositories/freshness": _struct(
+        _fields(_S, "freshness_bucket"),
+        _fields(_L, "repo_count", "total_events"),
+        _SLICE_FIELDS,
+    ),
+    "repositories/event_type": _struct(
+        _fields(_S, "event_type"),
+        _fields(_L, "event_count"),
+        _SLICE_FIELDS,
+    ),
+    "repositories/top_100": _struct(
+        _fields(_L, "repo_id"),
+        _fields(_S, "repo_full_name", "owner_login", "language"),
+        _fields(_L, "total_events", "unique_actors"),
+        _fields(_D, "composite_score"),
+        _fields(_L, "stargazers_count", "forks_count"),
+        _SLICE_FIELDS,
+    ),
+    "organizations/summary": _struct(
+        _fields(_L, "org_id"),
+        _fields(_S, "org_login", "org_name", "location", "company", "blog", "email", "twitter_username"),
+        _fields(_B, "is_verified", "has_organization_projects", "has_repository_projects"),
+        _fields(
+            _L,
+            "public_repos",
+            "public_gists",
+            "followers",
+            "following",
+            "total_events",
+            "push_events",
+            "pull_request_events",
+        ),
+        _fields(_D, "avg_composite_score", "avg_bot_ratio"),
+        _SLICE_FIELDS,
+    ),
+    "organizations/company": _struct(
+        _fields(_S, "company"),
+        _fields(_L, "org_count", "total_events"),
+        _SLICE_FIELDS,
+    ),
+    "organizations/location": _struct(
+        _fields(_S, "location"),
+        _fields(_L, "org_count", "total_events"),
+        _fields(_D, "avg_followers"),
+        _SLICE_FIELDS,
+    ),
+    "organizations/size": _struct(
+        _fields(_S, "size_bucket"),
+        _fields(_L, "org_count", "total_events"),
+        _fields(_D, "avg_followers"),
+        _SLICE_FIELDS,
+    ),
+    "organizations/social": _struct(
+        _fields(_S, "twitter_status", "blog_status", "email_status"),
+        _fields(_L, "org_count"),
+        _SLICE_FIELDS,
+    ),
+    "organizations/verified_distribution": _struct(
+        _fields(_S, "verification_status"),
+        _fields(_L, "org_count", "total_events"),
+        _fields(_D, "avg_composite_score"),
+        _SLICE_FIELDS,
+    ),
+    "organizations/top_100": _struct(
+        _fields(_L, "org_id"),
+        _fields(_S, "org_login", "org_name", "location"),
+        _fields(_L, "public_repos", "followers", "repos_count", "total_events"),
+        _fields(_D, "composite_score"),
+        _SLICE_FIELDS,
+    ),
+    "common/summary": _struct(
+        _fields(_L, "repo_id"),
+        _fields(_S, "repo_full_name", "repo_name", "owner_login", "language"),
+        _fields(_L, "repo_total_events"),
+        _fields(_D, "repo_avg_composite_score"),
+        _fields(_L, "stargazers_count", "org_id"),
+        _fields(_S, "org_name", "org_location", "org_company"),
+        _fields(_L, "org_followers", "org_public_repos"),
+        _fields(_B, "org_is_verified"),
+        _SLICE_FIELDS,
+    ),
+    "common/language_location": _struct(
+        _fields(_S, "language", "org_location"),
+        _fields(_L, "repo_count", "total_events"),
+        _SLICE_FIELDS,
+    ),
+    "common/verified": _struct(
+        _fields(_S, "verification_status"),
+        _fields(_L, "repo_count", "total_events"),
+        _fields(_D, "avg_repo_score"),
+        _SLICE_FIELDS,
+    ),
+}
+
+
+def require_contract(table: DataFrame, name: str) -> DataFrame:
+    """``table`` in the order of the dashboard's contract; an error if names or types differ."""
+    wanted = {f.name: f.dataType for f in DASHBOARDS[name].fields}
+    got = {f.name: f.dataType for f in table.schema.fields}
+    if got != wanted:
+        differ = sorted(c for c in {*got, *wanted} if got.get(c) != wanted.get(c))
+        raise ValueError(f"dashboard {name} breaks its contract in {', '.join(differ)}")
+    return table.select(*wanted)

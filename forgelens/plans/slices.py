@@ -20,6 +20,7 @@ from forgelens.contracts import (
     in_slice,
     mart_schema,
     metrics_schema,
+    require_contract,
 )
 from forgelens.operators import dashboards, enrichment
 from forgelens.operators.candidates import select_candidates
@@ -159,7 +160,8 @@ def report(
     ):
         for name, build in builders.items():
             extra = {"as_of": as_of} if build is dashboards.repo_freshness else {}
-            write_slices(build(*marts, SLICE, **extra), layout.path("dashboards", f"{area}/{name}"), owned=slices)
+            dataset = require_contract(build(*marts, SLICE, **extra), f"{area}/{name}")
+            write_slices(dataset, layout.path("dashboards", f"{area}/{name}"), owned=slices)
 
 
 def run_slices(

@@ -4,7 +4,8 @@ from datetime import date, datetime, timedelta
 
 import pytest
 
-from builders import DAY, by
+from builders import DAY, ORG, REPO, SLICE, by
+from forgelens.contracts import DASHBOARDS, in_slice, mart_schema, require_contract
 from forgelens.operators import dashboards as d
 
 REPO_MART = (
@@ -175,3 +176,18 @@ def test_hourly_join_stays_within_the_hour(spark):
 
 def test_all_datasets_have_a_builder():
     assert len(d.REPO_DASHBOARDS) + len(d.ORG_DASHBOARDS) + len(d.COMMON_DASHBOARDS) == 18
+
+
+def test_every_dataset_keeps_its_contract(spark):
+    left, right = (spark.createDataFrame([], in_slice(mart_schema(grain))) for grain in (REPO, ORG))
+    areas = {"repositories": (d.REPO_DASHBOARDS, [left]), "organizations": (d.ORG_DASHBOARDS, [right]), "common": (d.COMMON_DASHBOARDS, [left, right])}
+    seen = set()
+    for area, (builders, marts) in areas.items():
+        for name, build in builders.items():
+            extra = {"as_of": DAY} if build is d.repo_freshness else {}
+            frame = build(*marts, SLICE, **extra)
+            assert require_contract(frame, f"{area}/{name}").columns == DASHBOARDS[f"{area}/{name}"].names
+            with pytest.raises(ValueError, match="total_more"):
+                require_contract(frame.withColumn("total_more", frame.hr), f"{area}/{name}")
+            seen.add(f"{area}/{name}")
+    assert seen == DASHBOARDS.keys() and len(seen) == 18

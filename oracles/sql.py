@@ -18,7 +18,6 @@ from forgelens.contracts import (
     Grain,
     mart_schema,
 )
-from forgelens.operators import dashboards, pages
 from forgelens.plans.queries import (
     AS_OF,
     FIRST_DAY,
@@ -30,6 +29,113 @@ from forgelens.plans.queries import (
 )
 from forgelens.sources.driver_tables import COMMENT_TYPES, EVENT_TYPE_BY_SOURCE, ORG_DEBIT_LIMIT
 
+# Fixed values, written out here so that a wrong one in the engine shows.
+FRESHNESS = (
+    (7, "0-7d"),
+    (30, "8-30d"),
+    (90, "31-90d"),
+)
+STALE = "90d+"
+ORG_SIZES = (
+    (5, "1-5"),
+    (20, "6-20"),
+    (100, "21-100"),
+)
+LARGEST = "100+"
+SHOWN_EVENTS = (
+    "push_events",
+    "pull_request_events",
+    "issue_comment_events",
+    "issues_events",
+    "fork_events",
+    "watch_events",
+)
+REPO_DEFAULTS = {
+    "language": "Unknown",
+    "repo_full_name": "Unknown repository",
+}
+ORG_DEFAULTS = {
+    "org_login": "Unknown organization",
+    "org_name": "Unknown organization",
+    "location": "Unknown",
+    "company": "Unknown",
+}
+COMMON_DEFAULTS = {
+    "repo_full_name": "Unknown repository",
+    "repo_name": "Unknown repository",
+    "owner_login": "Unknown owner",
+    "language": "Unknown",
+    "org_name": "Independent owner",
+    "org_location": "Unknown",
+    "org_company": "Unknown",
+    "org_is_verified": False,
+}
+COMMON_NUMBERS = (
+    "repo_total_events",
+    "repo_avg_composite_score",
+    "stargazers_count",
+    "org_followers",
+    "org_public_repos",
+)
+REPO_TABLE = (
+    "dt",
+    "hr",
+    "repo_full_name",
+    "repo_name",
+    "owner_login",
+    "language",
+    "visibility",
+    "total_events",
+    "push_events",
+    "pull_request_events",
+    "stargazers_count",
+    "forks_count",
+    "watchers_count",
+    "avg_composite_score",
+    "avg_bot_ratio",
+)
+ORG_TABLE = (
+    "dt",
+    "hr",
+    "org_login",
+    "org_name",
+    "location",
+    "company",
+    "is_verified",
+    "total_events",
+    "push_events",
+    "pull_request_events",
+    "public_repos",
+    "followers",
+    "avg_composite_score",
+    "avg_bot_ratio",
+)
+COMMON_TABLE = (
+    "repo_full_name",
+    "owner_login",
+    "language",
+    "repo_total_events",
+    "repo_avg_composite_score",
+    "stargazers_count",
+    "org_name",
+    "org_location",
+    "org_company",
+    "org_followers",
+    "org_public_repos",
+    "org_is_verified",
+)
+SCATTER = (
+    "stargazers_count",
+    "repo_total_events",
+    "org_followers",
+    "language",
+    "repo_full_name",
+    "org_name",
+    "org_location",
+    "org_company",
+    "repo_avg_composite_score",
+)
+
 BY = {"all": (), "day": ("dt",), "hour": ("dt", "hr")}
 SNAPSHOT_COLUMNS = {
     "repo": (
@@ -240,10 +346,10 @@ def _ctes() -> dict[str, str]:
         ctes[f"rollup_{suffix}"] = _rollup(suffix, by)
     days = f"dt BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}'"
     at = "CAST(dt AS TIMESTAMP) + hr * INTERVAL 1 HOUR AS timestamp"
-    ctes["repo_page"] = f"\n  SELECT * REPLACE ({_filled(pages.REPO_DEFAULTS)}), {at} FROM repo_summary_hour WHERE {days}"
-    ctes["org_page"] = f"\n  SELECT * REPLACE ({_filled(pages.ORG_DEFAULTS)}), {at} FROM org_summary_hour WHERE {days}"
-    numbers = ", ".join(f"COALESCE(CAST({c} AS DOUBLE), 0) AS {c}" for c in pages.COMMON_NUMBERS)
-    ctes["common_page"] = f"\n  SELECT * REPLACE ({_filled(pages.COMMON_DEFAULTS)}, {numbers}) FROM rollup_all"
+    ctes["repo_page"] = f"\n  SELECT * REPLACE ({_filled(REPO_DEFAULTS)}), {at} FROM repo_summary_hour WHERE {days}"
+    ctes["org_page"] = f"\n  SELECT * REPLACE ({_filled(ORG_DEFAULTS)}), {at} FROM org_summary_hour WHERE {days}"
+    numbers = ", ".join(f"COALESCE(CAST({c} AS DOUBLE), 0) AS {c}" for c in COMMON_NUMBERS)
+    ctes["common_page"] = f"\n  SELECT * REPLACE ({_filled(COMMON_DEFAULTS)}, {numbers}) FROM rollup_all"
     return ctes
 
 
@@ -368,13 +474,13 @@ def _dashboards(suffix: str) -> dict[str, str]:
         ),
         "repo_freshness": _agg(
             by,
-            [f"{_days_case(dashboards.FRESHNESS, dashboards.STALE, age)} AS freshness_bucket"],
+            [f"{_days_case(FRESHNESS, STALE, age)} AS freshness_bucket"],
             [repo_count, *_sum("total_events")],
             repo,
         ),
         "repo_event_type": " UNION ALL ".join(
             f"SELECT {comma(*by, f"'{c}' AS event_type", f"{c} AS event_count")} FROM ({_agg(by, [], _sum(c), repo)})"
-            for c in dashboards.SHOWN_EVENTS
+            for c in SHOWN_EVENTS
         ),
         "repo_top_100": _top_100(
             repo,
@@ -397,7 +503,7 @@ def _dashboards(suffix: str) -> dict[str, str]:
         "org_location": _agg(by, [unknown("location")], [org_count, *_sum("total_events"), *_avg("followers")], org),
         "org_size": _agg(
             by,
-            [f"{_days_case(dashboards.ORG_SIZES, dashboards.LARGEST, 'repos_count')} AS size_bucket"],
+            [f"{_days_case(ORG_SIZES, LARGEST, 'repos_count')} AS size_bucket"],
             [org_count, *_sum("total_events"), *_avg("followers")],
             org,
         ),
@@ -462,7 +568,7 @@ def _pages() -> dict[str, str]:
 
     return {
         "page_repo_summary": f"SELECT * REPLACE ({averages}) FROM repo_page",
-        "page_repo_table": f"SELECT {table(pages.REPO_TABLE)} FROM repo_page",
+        "page_repo_table": f"SELECT {table(REPO_TABLE)} FROM repo_page",
         "page_repo_top_n": _page_sum("repo_full_name", "repo_page")
         + f" ORDER BY total_events DESC, repo_full_name LIMIT {PAGE_TOP_N}",
         "page_repo_language": _page_sum("language", "repo_page"),
@@ -472,7 +578,7 @@ def _pages() -> dict[str, str]:
             for c, label in shown.items()
         ),
         "page_org_summary": f"SELECT * REPLACE ({averages}) FROM org_page",
-        "page_org_table": f"SELECT {table(pages.ORG_TABLE)} FROM org_page",
+        "page_org_table": f"SELECT {table(ORG_TABLE)} FROM org_page",
         "page_org_top_n": _page_sum("org_login", "org_page")
         + f" ORDER BY total_events DESC, org_login LIMIT {PAGE_TOP_N}",
         "page_org_location": _page_sum("location", "org_page"),
@@ -485,9 +591,9 @@ def _pages() -> dict[str, str]:
             for c, label in quality.items()
         ),
         "page_common_summary": f"SELECT * REPLACE ({one_score}) FROM common_page",
-        "page_common_table": f"SELECT {table(pages.COMMON_TABLE)} FROM common_page",
+        "page_common_table": f"SELECT {table(COMMON_TABLE)} FROM common_page",
         "page_common_location_language": _page_sum("org_location, language", "common_page", "repo_total_events", cast=False),
-        "page_common_scatter": f"SELECT {table(pages.SCATTER)} FROM common_page",
+        "page_common_scatter": f"SELECT {table(SCATTER)} FROM common_page",
     }
 
 

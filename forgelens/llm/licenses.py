@@ -85,7 +85,8 @@ def match_templates(said: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     products = weighed.join(F.broadcast(weights), "term").groupBy("text", "template", "spdx").agg(F.sum(F.col("w") * F.col("weight")).alias("product"))
     cosine = F.round(F.col("product") / F.col("length"), 6)
     scored = products.join(lengths, "text").select("text", F.struct((-cosine).alias("minus"), "spdx", "template").alias("match"))
-    best = scored.groupBy("text").agg(F.min("match").alias("match")).where(-F.col("match.minus") >= threshold)
+    # Stored: a join between two shuffles is split where a statement is frequent, one with a sum is not.
+    best = stage(scored.groupBy("text").agg(F.min("match").alias("match")).where(-F.col("match.minus") >= threshold))
     found = said.join(best, "text").groupBy("file").agg(F.min("match").alias("match"))
     return found.select("file", F.col("match.spdx").alias("license"), (-F.col("match.minus")).alias("cosine"))
 

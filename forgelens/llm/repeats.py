@@ -275,8 +275,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     copies = ids.join(firsts.where("rows > 1"), "sha").where("not (doc_id <=> first.doc_id)").selectExpr("doc_id", "key", "0L as start", "n as stop")
 
     runs = anchors(docs)
-    again = runs.groupBy("h").agg(F.min("loc").alias("a"), F.max("loc").alias("b")).where("a <> b").select("h")
-    places = runs.join(again, "h").select(F.expr(f"loc ^ (at * {_STEP}L)").alias("key"), F.struct("at", "h").alias("place"))
+    # Stored: a join between two shuffles is split where an anchor is frequent, one with a sum is not.
+    again = stage(runs.groupBy("h").agg(F.min("loc").alias("a"), F.max("loc").alias("b")).where("a <> b").select("h"))
+    places = runs.join(again.hint("merge"), "h").select(F.expr(f"loc ^ (at * {_STEP}L)").alias("key"), F.struct("at", "h").alias("place"))
     places = places.distinct().groupBy("key").agg(F.collect_list("place").alias("places"))
     # One text of each group of copies stands for all.
     chosen = stage(firsts.selectExpr("first.key as key", "first.doc_id as __id").join(places, "key"))

@@ -86,7 +86,8 @@ def cut_repeated_spans(docs: DataFrame, span: int = SPAN) -> DataFrame:
     marked = docs.withColumn("__mark", F.xxhash64("text").bitwiseAND(F.lit(_MASK)))
     places = _places(marked.select("doc_id", "__mark", "text"), span)
     first = places.groupBy("h", "c").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max(F.struct("doc_id", "at")).alias("last"))
-    first = first.where("not (first <=> last)").drop("last")
+    # Stored: a join between two shuffles is split where a run is frequent, one with a sum is not.
+    first = stage(first.where("not (first <=> last)").drop("last"))
     later = places.join(first.hint("merge"), ["h", "c"]).where("not (doc_id <=> first.doc_id and shiftright(at, 24) = shiftright(first.at, 24))")
     later = later.select(F.col("doc_id").alias("__id"), F.col("at").bitwiseAND(F.lit(_MASK)).alias("__of"), F.expr("cast(shiftright(at, 24) as int)").alias("number"))
     later = stage(later.groupBy("__id", "__of").agg(F.collect_set("number").alias("__runs")))

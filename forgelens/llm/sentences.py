@@ -1,8 +1,9 @@
 """Substring dedup by sliding spans of sentences.
 
 A sentence ends after full stops, question or exclamation marks before white space, and at line
-ends; it is compared in lower case with single spaces. Every run of ``SPAN`` successive
-sentences is hashed (96 bits). Hashes are summed over all texts; of a repeated run the first
+ends; marks of other scripts end one wherever they stand, as many of these write no space. It is
+compared in lower case with single spaces. Every run of ``SPAN`` successive sentences is hashed
+(96 bits); with ``short``, a text of fewer sentences is one run as a whole. Hashes are summed over all texts; of a repeated run the first
 place stays, and the sentences of all others go: the first is the smallest doc_id, null before
 all, then the smallest sentence number. Runs are found in the input, not in what is left of it.
 
@@ -27,7 +28,10 @@ from forgelens.llm.common import append_columns
 from forgelens.sources.staging import stage
 
 SPAN = 3
-_BREAK = re.compile(r"[.!?]+\s+|\s*\n\s*")
+# Full stops, question and exclamation marks that only end sentences, with closing quotes and brackets:
+# Chinese and Japanese (also half-width), Indic danda, Arabic and Urdu, Ethiopic, Armenian, Burmese, Khmer, Tibetan.
+_MARKS = "\u3002\uff0e\uff01\uff1f\uff61\u0964\u0965\u06d4\u061f\u1362\u1367\u0589\u104a\u104b\u17d4\u17d5\u0f0d\u0f0e\u203c\u2047\u2048\u2049"
+_BREAK = re.compile(rf"[.!?]+\s+|[.!?]*[{_MARKS}][.!?{_MARKS}]*[\u300d\u300f\u201d\u2019\uff09\u3011\u300b]*\s*|\s*\n\s*")
 _MASK = 0xFFFFFF
 
 
@@ -51,7 +55,7 @@ def _runs(pieces: list[str], span: int) -> tuple[np.ndarray, np.ndarray]:
     return out[:, 0].copy().view(np.int64), (out[:, 1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def _places(docs: DataFrame, span: int) -> DataFrame:
+def _places(docs: DataFrame, span: int, short: bool) -> DataFrame:
     """(h, c, doc_id, at): each run of ``docs`` (doc_id, mark, text); at holds the sentence number and the mark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,8 +65,8 @@ def _places(docs: DataFrame, span: int) -> DataFrame:
             hashes, checks, rows, numbers = [], [], [], []
             for k, text in enumerate(batch.column(2).to_pylist()):
                 pieces = sentences(text)
-                if len(pieces) >= span:
-                    h, c = _runs(pieces, span)
+                if len(pieces) >= span or (short and "".join(pieces).strip()):
+                    h, c = _runs(pieces, min(span, len(pieces)))
                     hashes.append(h)
                     checks.append(c)
                     rows.append(np.full(len(h), k))
@@ -75,16 +79,17 @@ def _places(docs: DataFrame, span: int) -> DataFrame:
     return docs.mapInArrow(run, "h long, c int, doc_id long, at long")
 
 
-def cut_repeated_spans(docs: DataFrame, span: int = SPAN) -> DataFrame:
+def cut_repeated_spans(docs: DataFrame, span: int = SPAN, short: bool = False) -> DataFrame:
     """``docs`` (doc_id, text and any other columns) without the repeated sentences.
 
     ``text`` is what is left, ``n_sentences`` and ``n_removed`` are added; columns with these
     names are replaced. A null text stays null and has no sentence. Texts of fewer than ``span``
-    sentences have no run and stay whole. Rows repeated with one doc_id and text are at the same
+    sentences have no run and stay whole, unless ``short``: then such a text is one run and goes
+    where another text of the same sentences stands before it. Rows repeated with one doc_id and text are at the same
     place and so don't remove each other.
     """
     marked = docs.withColumn("__mark", F.xxhash64("text").bitwiseAND(F.lit(_MASK)))
-    places = _places(marked.select("doc_id", "__mark", "text"), span)
+    places = _places(marked.select("doc_id", "__mark", "text"), span, short)
     first = places.groupBy("h", "c").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max(F.struct("doc_id", "at")).alias("last"))
     # Stored: a join between two shuffles is split where a run is frequent, one with a sum is not.
     first = stage(first.where("not (first <=> last)").drop("last"))
@@ -107,7 +112,7 @@ def cut_repeated_spans(docs: DataFrame, span: int = SPAN) -> DataFrame:
             for packed, runs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 text = None if packed is None else unpack(packed).decode("utf-8", "surrogatepass")
                 pieces = sentences(text)
-                gone = {i + k for i in runs or () for k in range(span)}
+                gone = {i + k for i in runs or () for k in range(min(span, len(pieces)))}
                 texts.append("".join(p for i, p in enumerate(pieces) if i not in gone) if gone else text)
                 sizes.append(len(pieces))
                 removed.append(len(gone))

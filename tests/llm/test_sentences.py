@@ -48,3 +48,29 @@ def test_empty_table_and_clashing_names(spark):
     assert sorted(out.columns) == ["at", "c", "doc_id", "h", "n_removed", "n_sentences", "number", "text"]
     assert out.where("h <> 1 or c <> 2 or at <> 3 or number <> 5").count() == 0
     assert out.where("doc_id = 4 and text is null and n_sentences = 0").count() == 1
+
+
+def test_sentence_ends_of_other_scripts(spark):
+    texts = {
+        "zh": ("\u6668\u5149\u7167\u4eae\u6e2f\u53e3\u3002\u8239\u968f\u6f6e\u6c34\u8fdb\u6765\uff01\u8c01\u5728\u8bf4\u8bdd\uff1f", "\u949f\u54cd\u4e86\u3002"),
+        "hi": ("\u0938\u0941\u092c\u0939 \u0939\u0941\u0908\u0964 \u0928\u093e\u0935 \u0906\u0908\u0964 \u0938\u092c \u091a\u0941\u092a \u0925\u0947\u0964 ", "\u0918\u0902\u091f\u0940 \u092c\u091c\u0940\u0964"),
+        "ur": ("\u0635\u0628\u062d \u06c1\u0648\u0626\u06cc\u06d4 \u06a9\u0634\u062a\u06cc \u0622\u0626\u06cc\u06d4 \u06a9\u0648\u0646 \u06c1\u06d2\u061f ", "\u06af\u06be\u0646\u0679\u06cc \u0628\u062c\u06cc\u06d4"),
+    }
+    docs = []
+    for k, (three, last) in enumerate(texts.values()):
+        assert len(sentences.sentences(three + last)) == 4 and "".join(sentences.sentences(three + last)) == three + last
+        docs += [(10 * k, three + last), (10 * k + 1, three)]
+    out = sentences.cut_repeated_spans(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in out} == {d: "" if d % 10 else t for d, t in docs}
+
+
+def test_short_texts_are_one_run_if_asked(spark):
+    long = " ".join(f"word{i}" for i in range(160)) + "."
+    docs = spark.createDataFrame(
+        [(1, long), (2, long.upper()), (3, f"{long} {long}"), (4, "One. Two!"), (5, "one.  two!"), (6, "One."), (7, ""), (8, ""), (9, " "), (9, " "), (10, None), (11, "One. Two! Three?"), (11, "One. Two! Three?")],
+        "doc_id long, text string",
+    )
+    out = {r.doc_id: (r.text, r.n_removed) for r in sentences.cut_repeated_spans(docs, short=True).collect()}
+    assert {d: n for d, (_, n) in out.items() if n} == {2: 1, 5: 2}
+    assert out[2][0] == out[5][0] == "" and out[3][0] == f"{long} {long}" and out[10][0] is None
+    assert not any(r.n_removed for r in sentences.cut_repeated_spans(docs).collect())

@@ -10,11 +10,19 @@ file has that of its best statement. A file without one inherits from the licenc
 directory or else in the nearest directory above: the distinct directories are joined with the
 licensed ones by path, and the files with their directories by equality.
 
-The templates are the constants below: a few rows, the only side that is broadcast.
+Whole headers and licence files are compared beside the single statements, with the standard
+source headers and the licence texts of ``license_texts``, as vectors of a space of their own: each
+paragraph that speaks of a licence, the comment a file opens with, and all of a licence file. A
+licence file that is a known text as a whole has that licence, whatever its sentences name. An
+SPDX line gives the identifier or expression it holds, as it is written.
+
+The templates are the only side that is broadcast: a fixed number of texts.
 """
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,19 +50,55 @@ TEMPLATES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain, the Unlicense."),
 ]
 
+
+def _gnu(spdx: str, name: str, version: str, either: str) -> list[tuple[str, str]]:
+    """The notice of a GNU licence, its first paragraph alone and with the two that follow."""
+    first = f"This program is free software: you can redistribute it and/or modify it under the terms of the {name} as published by the Free Software Foundation, {either}version {version} of the License"
+    first += ", or (at your option) any later version." if either else "."
+    rest = f"This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {name} for more details. You should have received a copy of the {name} along with this program. If not, see <https://www.gnu.org/licenses/>."
+    return [(spdx, first), (spdx, f"{first} {rest}")]
+
+
+_APACHE = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0'
+HEADERS = [
+    ("Apache-2.0", _APACHE),
+    ("Apache-2.0", f'{_APACHE} Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("MIT", "Use of this source code is governed by an MIT-style license that can be found in the LICENSE file."),
+    ("MIT", "This source code is licensed under the MIT license found in the LICENSE file in the root directory of this source tree."),
+    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    *[row for spdx, name, version in [
+        ("GPL-2.0", "GNU General Public License", "2"), ("GPL-3.0", "GNU General Public License", "3"), ("AGPL-3.0", "GNU Affero General Public License", "3"),
+        ("LGPL-2.1", "GNU Lesser General Public License", "2.1"), ("LGPL-3.0", "GNU Lesser General Public License", "3"),
+    ] for either, kind in (("either ", "or-later"), ("", "only")) for row in _gnu(f"{spdx}-{kind}", name, version, either)],
+]
+
+
+def _texts() -> list[tuple[str, str]]:
+    """Whole licence texts. That of AGPL-3.0 is made from GPL-3.0, which it differs from by its name and a section."""
+    texts = [(p.stem, p.read_text("utf-8", "replace")) for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))]
+    gpl = dict(texts)["GPL-3.0-only"]
+    return [*texts, ("AGPL-3.0-only", gpl.replace("GNU General Public", "GNU Affero General Public").replace("GNU GENERAL PUBLIC", "GNU AFFERO GENERAL PUBLIC"))]
+
+
 SPEAKS_OF_LICENCE = "licen[cs]e|copyright|spdx|public domain|creative commons"
 LICENCE_FILE = r"^(licen[cs]e|copying|unlicense|notice)([._-].*)?$"
 TERM = "[a-z0-9]+(?:[.][0-9]+)*"
 THRESHOLD = 0.7
+BLOCK_THRESHOLD = 0.8
+_ID = "[A-Za-z0-9.+-]*[A-Za-z0-9+]"
+SPDX_LINE = rf"(?i:spdx-license-identifier):[ \t]*([(]*{_ID}(?:[ \t)]+(?:OR|AND|WITH)[ \t(]+{_ID})*[)]*)"
+COMMENT_LINE = r"^[ \t]*(#|//|/?[*]|--|;|%|dnl\b|(?i:rem)\b|[.][.]|$)"
+COMMENT = r"^\s*(?:/[*]|<!--|[{]-|[(][*]|\"\"\"|''')([\s\S]*?)(?:[*]/|-->|-[}]|[*][)]|\"\"\"|''')"
 
 
 def _terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({TERM})"), F.lit(1))
 
 
-def _weights(spark: SparkSession) -> DataFrame:
+def _weights(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
     """(template, spdx, term, weight, idf), weights of unit length for each template."""
-    rows = [(k, spdx, text) for k, (spdx, text) in enumerate(TEMPLATES)]
+    rows = [(k, spdx, text) for k, (spdx, text) in enumerate(templates)]
     terms = spark.createDataFrame(rows, "template int, spdx string, text string").select("template", "spdx", F.explode(_terms(F.col("text"))).alias("term"))
     counts = terms.groupBy("template", "spdx", "term").agg(F.count("*").alias("n"))
     have = counts.groupBy("term").agg(F.count("*").alias("have"))
@@ -72,25 +116,64 @@ def statements(files: DataFrame) -> DataFrame:
     return files.where(speaks).select("file", F.posexplode(said).alias("statement", "text"))
 
 
-def match_templates(said: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def blocks(files: DataFrame) -> DataFrame:
+    """(file, whole, text) of the paragraphs and the opening comment of a file that speak of a licence,
+    and of all of a licence file, which is ``whole``."""
+    speaks = lambda x: F.lower(x).rlike(SPEAKS_OF_LICENCE)
+    is_licence = F.coalesce(F.lower("name").rlike(LICENCE_FILE), F.lit(False))
+    plain = F.regexp_replace("text", "\r", "")
+    lines = F.split(plain, "\n")
+    code = F.array_position(F.transform(lines, lambda x: x.rlike(COMMENT_LINE)), False)
+    opening = F.array_join(F.slice(lines, 1, F.when(code > 0, code - 1).otherwise(F.size(lines)).cast("int")), "\n")
+    # A line without letters and digits, as of comment marks alone, parts paragraphs.
+    paragraphs = F.split(F.regexp_replace(plain, r"(?m)^[^\p{L}\p{N}\n]+$", ""), "\n\n+")
+    parts = F.array_distinct(F.filter(F.concat(paragraphs, F.array(opening, F.regexp_extract(plain, COMMENT, 1))), speaks))
+    every = F.transform(parts, lambda x: F.struct(F.lit(False).alias("whole"), x.alias("text")))
+    whole = F.when(is_licence, F.array(F.struct(F.lit(True).alias("whole"), F.col("text").alias("text")))).otherwise(F.expr("array()"))
+    said = files.where(F.col("text").rlike(f"(?i){SPEAKS_OF_LICENCE}"))
+    return said.select("file", F.explode(F.concat(every, whole)).alias("b")).select("file", "b.whole", "b.text")
+
+
+def spdx_lines(files: DataFrame) -> DataFrame:
+    """(file, license) of what the SPDX lines of a file name."""
+    named = F.regexp_extract_all("text", F.lit(SPDX_LINE), F.lit(1))
+    return files.select("file", F.explode(named).alias("license"))
+
+
+def match_templates(said: DataFrame, threshold: float = THRESHOLD, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """(file, license, cosine): the best template of each file that has one."""
-    weights = stage(_weights(said.sparkSession))
-    # Equal statements, of any number of files, are compared once.
-    distinct = said.groupBy("text").agg(F.count("*").alias("n"))
-    terms = distinct.select("text", F.explode(_terms(F.col("text"))).alias("term")).groupBy("text", "term").agg(F.count("*").alias("n"))
+    weights = stage(_weights(said.sparkSession, templates))
+    # Equal statements, of any number of files, are compared once. A row of a term has the text's
+    # digest and not the text, whose length times its terms would be stored.
+    said = said.select("file", F.sha2("text", 256).alias("said"), "text")
+    distinct = said.groupBy("said").agg(F.first("text").alias("text"))
+    terms = distinct.select("said", F.explode(_terms(F.col("text"))).alias("term")).groupBy("said", "term").agg(F.count("*").alias("n"))
     idf = weights.groupBy("term").agg(F.first("idf").alias("idf"))
-    weighed = terms.join(F.broadcast(idf), "term", "left").withColumn("w", F.col("n") * F.coalesce("idf", F.ln(F.lit(1.0 + len(TEMPLATES))) + 1.0))
-    weighed = stage(weighed.select("text", "term", "w"))
-    lengths = weighed.groupBy("text").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    products = weighed.join(F.broadcast(weights), "term").groupBy("text", "template", "spdx").agg(F.sum(F.col("w") * F.col("weight")).alias("product"))
+    weighed = terms.join(F.broadcast(idf), "term", "left").withColumn("w", F.col("n") * F.coalesce("idf", F.ln(F.lit(1.0 + len(templates))) + 1.0))
+    weighed = stage(weighed.select("said", "term", "w"))
+    lengths = weighed.groupBy("said").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
+    products = weighed.join(F.broadcast(weights), "term").groupBy("said", "template", "spdx").agg(F.sum(F.col("w") * F.col("weight")).alias("product"))
     cosine = F.round(F.col("product") / F.col("length"), 6)
-    scored = products.join(lengths, "text").select("text", F.struct((-cosine).alias("minus"), "spdx", "template").alias("match"))
+    scored = products.join(lengths, "said").select("said", F.struct((-cosine).alias("minus"), "spdx", "template").alias("match"))
     # Stored: a join between two shuffles is split where a statement is frequent, one with a sum is not.
-    best = stage(scored.groupBy("text").agg(F.min("match").alias("match")).where(-F.col("match.minus") >= threshold))
-    found = said.join(best, "text").groupBy("file").agg(F.min("match").alias("match"))
+    best = stage(scored.groupBy("said").agg(F.min("match").alias("match")).where(-F.col("match.minus") >= threshold))
+    found = said.select("file", "said").join(best, "said").groupBy("file").agg(F.min("match").alias("match"))
     return found.select("file", F.col("match.spdx").alias("license"), (-F.col("match.minus")).alias("cosine"))
 
 
+def _own(files: DataFrame, threshold: float) -> DataFrame:
+    """(file, license, cosine) of what each of ``files`` (file, name, text) says itself."""
+    long = HEADERS + _texts()
+    parts = stage(blocks(files))
+    rank = lambda found, n: found.select("file", F.lit(n).alias("rank"), "license", "cosine")
+    found = rank(match_templates(statements(files), threshold), 1)
+    found = found.unionByName(rank(match_templates(parts.where("whole"), BLOCK_THRESHOLD, long), 0))
+    found = found.unionByName(rank(match_templates(parts.where("not whole"), BLOCK_THRESHOLD, long), 1))
+    found = found.unionByName(rank(spdx_lines(files).withColumn("cosine", F.lit(1.0)), 0))
+    best = found.groupBy("file").agg(F.min(F.struct("rank", (-F.col("cosine")).alias("minus"), "license")).alias("m"))
+    return best.select("file", F.col("m.license").alias("license"), (-F.col("m.minus")).alias("cosine"))
+
+
 def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(file, path, license, cosine, found_in) of every row of ``files`` (file, path, text).
 
@@ -102,7 +185,7 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     spark = files.sparkSession
     directory = F.regexp_replace("path", "/?[^/]*$", "")
     name = F.regexp_extract("path", "([^/]*)$", 1)
-    own = stage(match_templates(statements(files.select("file", name.alias("name"), "text")), threshold))
+    own = stage(_own(files.select("file", name.alias("name"), "text"), threshold))
     placed = stage(files.select("file", "path", directory.alias("dir"), name.alias("name")).join(own, "file", "left"))
     licensed = placed.where(F.col("license").isNotNull() & F.lower("name").rlike(LICENCE_FILE))
     licensed = licensed.groupBy(F.col("dir").alias("above")).agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "license")).alias("m"))

@@ -44,3 +44,57 @@ def test_python_is_not_used(spark, plan_of):
 
 def test_empty_table(spark):
     assert licenses.op5_license_scan(cases.empty(spark)).count() == 0
+
+
+GPL_HEADER = """#!/usr/bin/env python
+# Frobnicator - frobs things
+# Copyright (C) 2019  Jo Doe
+#
+# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU General Public License for more details.
+
+import os
+"""
+APACHE_HEADER = """/*
+ * Copyright 2021 The Frob Authors
+ *
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     https://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ * See the License for the specific language governing permissions and
+ * limitations under the License.
+ */
+package frob;
+"""
+
+
+def test_headers_spdx_lines_and_whole_texts(spark):
+    texts = dict(licenses._texts())
+    lgpl = GPL_HEADER.replace("General", "Lesser General").replace("version 3", "version 2.1").replace("# ", "// ").replace("#\n", "//\n")
+    agpl = texts["AGPL-3.0-only"].replace("13. Use with", "13. Remote Network Interaction; Use with")
+    files = {
+        "a/frob.py": (GPL_HEADER, "GPL-3.0-or-later"), "b/frob.py": (GPL_HEADER.replace("version 3", "version 2"), "GPL-2.0-or-later"), "c/frob.c": (lgpl, "LGPL-2.1-or-later"),
+        "d/Frob.java": (APACHE_HEADER, "Apache-2.0"), "e/frob.c": ("/* SPDX-License-Identifier: GPL-2.0-only */\nint x;", "GPL-2.0-only"),
+        "f/frob.rs": ("// SPDX-License-Identifier: MIT OR (Apache-2.0 WITH LLVM-exception)\nfn f() {}", "MIT OR (Apache-2.0 WITH LLVM-exception)"),
+        "g/frob.py": ("# SPDX-License-Identifier: MIT.\n", "MIT"), "h/LICENSE": ("Copyright (c) 2020 Jo Doe\n\n" + texts["MIT"], "MIT"),
+        "i/frob.js": ("/*\nCopyright (c) 2020 Jo Doe\n\n" + texts["MIT"] + "*/\nlet x;", "MIT"), "j/COPYING": (agpl, "AGPL-3.0-only"),
+        "k/LICENSE.txt": ("Copyright 2020, Frob Inc.\n\n" + texts["BSD-2-Clause"], "BSD-2-Clause"), "l/LICENSE.md": ("# License\n\nCopyright 2020, Frob Inc.\n\n" + texts["BSD-3-Clause"], "BSD-3-Clause"),
+        "m/essay.txt": ("A licence is a promise.\n\nThe General was free to publish his terms, and the public read them.", None),
+        **{f"whole/{spdx}/LICENSE": (" ".join(text.split()), spdx) for spdx, text in texts.items()},
+    }
+    rows = spark.createDataFrame([(k, p, t) for k, (p, (t, _)) in enumerate(files.items())], "file long, path string, text string")
+    found = {r.path: r.license for r in licenses.scan(rows).collect()}
+    assert found == {p: want for p, (_, want) in files.items()}

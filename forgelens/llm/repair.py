@@ -312,6 +312,12 @@ def repair(rows: DataFrame) -> DataFrame:
     neighbours. A conversation without rows has one block without turns; an empty table gives
     none. Other columns of ``rows`` are left out.
     """
+    alone, together = _repaired(rows)
+    return alone.unionAll(together)
+
+
+def _repaired(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The blocks that are a conversation, and those that may go on in another one."""
     blocks = stage(_blocks(rows.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text", F.col("n").cast("long").alias("n"))))
     alone = blocks.where("whole").withColumns({"end": F.lit(list(FINAL)).cast("array<bigint>"), "state": F.lit(START), "last": F.lit(True)})
     together = _with_ends(blocks.where("not whole")).select(alone.columns)
@@ -336,7 +342,7 @@ def repair(rows: DataFrame) -> DataFrame:
     def solved(part: DataFrame) -> DataFrame:
         return part.mapInArrow(solve, f"{schema}, edits string, cost bigint, turns array<struct<role:string,text:string>>")
 
-    return solved(alone).unionAll(solved(together))
+    return solved(alone), solved(together)
 
 
 def _cost(rows: Sequence[Row], edits: Sequence[str]) -> int:
@@ -352,12 +358,12 @@ def op12_conversation_repair(conversations: DataFrame) -> DataFrame:
     Blocks are joined in a stream sorted by conversation: no more than a block's texts are in memory,
     only the audit, which is one value of the result, grows with its conversation.
     """
-    blocks = repair(damaged(conversations))
-    kind = blocks.schema["conv_id"].dataType.simpleString()
+    alone, together = _repaired(damaged(conversations))
+    kind = alone.schema["conv_id"].dataType.simpleString()
     counts = "gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint, cost bigint"
     schema = f"conv_id {kind}, {counts}, audit string, repaired_sha256 string"
-    together = blocks.where("not whole").repartition("conv_id").sortWithinPartitions("conv_id", "block")
-    return blocks.where("whole").mapInArrow(_digest, schema).unionAll(together.mapInArrow(_digest, schema))
+    in_order = together.repartition("conv_id").sortWithinPartitions("conv_id", "block")
+    return alone.mapInArrow(_digest, schema).unionAll(in_order.mapInArrow(_digest, schema))
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forgelens.llm import alignment, decontaminate, language, licenses, mixing, pitman_yor, quality, repair, repeats, sentences, simhash, topk
+from forgelens.llm import alignment, decontaminate, language, licenses, mixing, personal, pitman_yor, quality, repair, repeats, sentences, simhash, topk
 from forgelens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_suffix_array_dedup": lambda spark, d: repeats.op7_suffix_array_dedup(table(spark, d, "documents")),
     "op8_quality_classifier": lambda spark, d: quality.op8_quality_classifier(table(spark, d, "documents"), table(spark, d, "labels")),
     "op10_substring_dedup": lambda spark, d: sentences.op10_substring_dedup(table(spark, d, "documents")),
+    "op11_personal_data": lambda spark, d: personal.op11_personal_data(table(spark, d, "documents")),
     "op12_conversation_repair": lambda spark, d: repair.op12_conversation_repair(table(spark, d, "conversations")),
     "op13_cross_tokenizer_alignment": lambda spark, d: alignment.op13_cross_tokenizer_alignment(table(spark, d, "documents")),
     "op9_lm_scoring": lambda spark, d: pitman_yor.op9_lm_scoring(table(spark, d, "documents")),

@@ -9,17 +9,18 @@ from datetime import date, datetime, time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgelens.contracts import EVENT_RATIOS, ORG, REPO, SCORES, SLICE, Grain, mart_schema
+from forgelens.contracts import DASHBOARDS, EVENT_RATIOS, ORG, REPO, SCORES, SLICE, Grain, mart_schema, require_contract
 from forgelens.functions.expressions import round_doubles
 from forgelens.operators import dashboards, enrichment, pages, profile
 from forgelens.operators.candidates import metric_leaders, select_candidates
 from forgelens.operators.flatten import flatten_events, with_event_slice
 from forgelens.operators.marts import build_mart, latest_per_key, match_rate, project_contract
 from forgelens.operators.metrics import entity_metrics, valid_events
+from forgelens.plans import reports
 from forgelens.plans.slices import Layout, enrich
 from forgelens.sources import driver_tables as tables
-from forgelens.sources.raw import calendar_of, in_slices, read_raw_events, slice_calendar
-from forgelens.sources.staging import shared_dir, stage
+from forgelens.sources.raw import calendar_of, in_slices, read_days, read_raw_events, slice_calendar
+from forgelens.sources.staging import children, shared_dir, stage
 from forgelens.sources.warehouse import write_bucketed, write_slices
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,25 +50,20 @@ def query(name: str) -> Callable[[Query], Query]:
     return register
 
 
-Days = tuple[date, date] | None
-
-
-def _metrics(spark: SparkSession, sf: str, grain: Grain, by: tuple[str, ...], days: Days = None) -> DataFrame:
-    """Metrics of all events, or of the days that a page shows: slices don't depend on each other."""
-    events = tables.events_flat(spark, sf)
-    return entity_metrics(events if days is None else events.where(F.col("dt").between(*days)), grain, by)
+def _metrics(spark: SparkSession, sf: str, grain: Grain, by: tuple[str, ...]) -> DataFrame:
+    return entity_metrics(tables.events_flat(spark, sf), grain, by)
 
 
 def _snapshot(spark: SparkSession, sf: str, grain: Grain) -> DataFrame:
     return tables.repo_snapshot(spark, sf) if grain is REPO else tables.org_snapshot(spark, sf)
 
 
-def _candidates(spark: SparkSession, sf: str, grain: Grain, by: tuple[str, ...], days: Days = None) -> DataFrame:
-    return select_candidates(stage(_metrics(spark, sf, grain, by, days)), grain, TOP_N, slice_cols=by)
+def _candidates(spark: SparkSession, sf: str, grain: Grain, by: tuple[str, ...]) -> DataFrame:
+    return select_candidates(stage(_metrics(spark, sf, grain, by)), grain, TOP_N, slice_cols=by)
 
 
-def _mart(spark: SparkSession, sf: str, grain: Grain, by: tuple[str, ...], days: Days = None) -> DataFrame:
-    return build_mart(_candidates(spark, sf, grain, by, days), _snapshot(spark, sf, grain), grain, by)
+def _mart(spark: SparkSession, sf: str, grain: Grain, by: tuple[str, ...]) -> DataFrame:
+    return build_mart(_candidates(spark, sf, grain, by), _snapshot(spark, sf, grain), grain, by)
 
 
 def _show_reasons(df: DataFrame) -> DataFrame:
@@ -430,19 +426,50 @@ _dashboard_queries()
 # --- pages --------------------------------------------------------------------------
 
 
+_stored: dict[tuple[str, str, str], Layout] = {}
+
+
+def _store(spark: SparkSession, sf: str, name: str) -> Layout:
+    """Write one dashboard summary of the whole history, as the batch does."""
+    layout = Layout(shared_dir(spark))
+    path = layout.path("dashboards", name)
+    if name == reports.REPOSITORIES:
+        write_slices(require_contract(dashboards.repo_summary(_mart(spark, sf, REPO, SLICE), SLICE), name), path)
+    elif name == reports.ORGANIZATIONS:
+        write_slices(require_contract(dashboards.org_summary(_mart(spark, sf, ORG, SLICE), SLICE), name), path)
+    else:
+        dashboards.common_rollup(_mart(spark, sf, REPO, WHOLE), _mart(spark, sf, ORG, WHOLE)).write.parquet(path)
+    return layout
+
+
+def _dashboards_of(spark: SparkSession, sf: str, name: str) -> Layout:
+    """Where a summary is stored: written by the first page of an application that asks for it."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _stored or not children(spark, _stored[key].path("dashboards", name)):
+        _stored[key] = _store(spark, sf, name)
+    return _stored[key]
+
+
+for _grain, _name in ((REPO, reports.REPOSITORIES), (ORG, reports.ORGANIZATIONS)):
+
+    @query(f"report_store_{_grain.name}_summary")
+    def _(spark, sf, name=_name):
+        """The summary is written anew and read by its days."""
+        path = _store(spark, sf, name).path("dashboards", name)
+        stored = read_days(spark, path, FIRST_DAY, LAST_DAY, DASHBOARDS[name])
+        return stored.groupBy(*SLICE).agg(F.count("*").alias("entities"), F.sum("total_events").alias("total_events"))
+
+
 def _repo_page(spark: SparkSession, sf: str) -> DataFrame:
-    summary = dashboards.repo_summary(_mart(spark, sf, REPO, SLICE, (FIRST_DAY, LAST_DAY)), SLICE)
-    return pages.load_repo_summary(summary, FIRST_DAY, LAST_DAY)
+    return reports.repository_page(spark, _dashboards_of(spark, sf, reports.REPOSITORIES), FIRST_DAY, LAST_DAY)
 
 
 def _org_page(spark: SparkSession, sf: str) -> DataFrame:
-    summary = dashboards.org_summary(_mart(spark, sf, ORG, SLICE, (FIRST_DAY, LAST_DAY)), SLICE)
-    return pages.load_org_summary(summary, FIRST_DAY, LAST_DAY)
+    return reports.organization_page(spark, _dashboards_of(spark, sf, reports.ORGANIZATIONS), FIRST_DAY, LAST_DAY)
 
 
 def _common_page(spark: SparkSession, sf: str) -> DataFrame:
-    rollup = dashboards.common_rollup(_mart(spark, sf, REPO, WHOLE), _mart(spark, sf, ORG, WHOLE))
-    return pages.load_common_summary(rollup)
+    return reports.common_page(spark, _dashboards_of(spark, sf, reports.COMMON))
 
 
 def _page_queries() -> None:

@@ -28,7 +28,7 @@ from forgelens.operators.flatten import flatten_events, rejected_lines, with_eve
 from forgelens.operators.marts import build_mart, latest_per_key
 from forgelens.operators.metrics import entity_metrics
 from forgelens.sources.raw import in_slices, read_raw_events, read_slices
-from forgelens.sources.staging import slice_dir, stage, staging
+from forgelens.sources.staging import children, slice_dir, stage, staging
 from forgelens.sources.warehouse import write_bucketed, write_slices
 
 Slices = Sequence[tuple[date, int]]
@@ -119,10 +119,7 @@ def enrich(
 
 def _stored(spark: SparkSession, path: str, slices: Slices | None) -> DataFrame | None:
     """A table that earlier loads may not have made yet."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
-        return None
-    return read_slices(spark, path, slices)
+    return read_slices(spark, path, slices) if children(spark, path) else None
 
 
 def _add(spark: SparkSession, new: DataFrame, path: str, merge: Callable[[DataFrame], DataFrame]) -> None:

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from forgelens.contracts import CORRUPT, RAW_EVENT, SLICE
 from forgelens.functions.expressions import slice_start
-from forgelens.sources.staging import file_names, slice_dir
+from forgelens.sources.staging import children, day_dir, slice_dir
 
 
 def read_raw_events(
@@ -31,6 +31,33 @@ def read_raw_events(
     return raw.hint("rebalance") if spread else raw
 
 
+# Up to this many days the driver lists each day's hours itself. Of more it names the days
+# only, and Spark lists them, in tasks.
+_DAYS_LISTED = 32
+
+
+def slice_paths(spark: SparkSession, root: str, slices: Iterable[tuple[date, int]]) -> list[str]:
+    """Directories that hold all given slices there are: of hours, or of whole days if there are many.
+
+    One storage call tells the days of the table and one each the hours of a few days; the
+    number of calls doesn't grow with the slices.
+    """
+    hours_by_day: dict[date, set[int]] = {}
+    for day, hour in slices:
+        hours_by_day.setdefault(day, set()).add(hour)
+    days = _days(spark, root)
+    wanted = sorted(hours_by_day.keys() & days)
+    if len(wanted) > _DAYS_LISTED:
+        return [day_dir(root, day) for day in wanted]
+    present = {day: children(spark, day_dir(root, day)) for day in wanted}
+    return [slice_dir(root, day, hour) for day in wanted for hour in sorted(hours_by_day[day]) if f"hr={hour}" in present[day]]
+
+
+def _days(spark: SparkSession, root: str) -> set[date]:
+    """Days that a ``dt=`` table has a directory for."""
+    return {date.fromisoformat(name[3:]) for name in children(spark, root) if name.startswith("dt=") and name[3:4].isdigit()}
+
+
 def read_slices(
     spark: SparkSession, root: str, slices: Iterable[tuple[date, int]] | None = None, schema: StructType | None = None
 ) -> DataFrame:
@@ -42,10 +69,22 @@ def read_slices(
     if slices is None:
         return spark.read.parquet(root)
     slices = list(slices)
-    paths = [p for p in (slice_dir(root, day, hour) for day, hour in slices) if file_names(spark, p)]
+    return _read_paths(spark, root, slice_paths(spark, root, slices), schema).where(in_slices(slices))
+
+
+def read_days(spark: SparkSession, root: str, start: date, end: date, schema: StructType | None = None) -> DataFrame:
+    """The days from ``start`` to ``end`` of a ``dt=/hr=`` table, both included.
+
+    Only their directories are listed, whatever the length of the history.
+    """
+    days = sorted(d for d in _days(spark, root) if start <= d <= end)
+    return _read_paths(spark, root, [day_dir(root, d) for d in days], schema).where(F.col("dt").between(F.lit(start), F.lit(end)))
+
+
+def _read_paths(spark: SparkSession, root: str, paths: list[str], schema: StructType | None) -> DataFrame:
     if not paths:
         return spark.read.parquet(root).where(F.lit(False)) if schema is None else spark.createDataFrame([], schema)
-    return spark.read.option("basePath", root).parquet(*paths).where(in_slices(slices))
+    return spark.read.option("basePath", root).parquet(*paths)
 
 
 def in_slices(slices: Iterable[tuple[date, int]]) -> Column:

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _open: list[list[str]] = []  # folders made since each open ``staging`` block began
@@ -51,15 +52,24 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def day_dir(root: str, day: date) -> str:
+    return f"{root.rstrip('/')}/dt={day.isoformat()}"
+
+
 def slice_dir(root: str, day: date, hour: int) -> str:
-    return f"{root.rstrip('/')}/dt={day.isoformat()}/hr={hour}"
+    return f"{day_dir(root, day)}/hr={hour}"
 
 
-def file_names(spark: SparkSession, path: str) -> set[str]:
-    """Names of the files directly in a folder; none if it doesn't exist."""
+def children(spark: SparkSession, path: str) -> set[str]:
+    """Names directly in a folder, by one storage call; none if it doesn't exist."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     store = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    return {f.getPath().getName() for f in store.listStatus(place)} if store.exists(place) else set()
+    try:
+        return {f.getPath().getName() for f in store.listStatus(place)}
+    except Py4JJavaError as error:
+        if "FileNotFoundException" in error.java_exception.getClass().getName():
+            return set()
+        raise
 
 
 def stage(df: DataFrame) -> DataFrame:

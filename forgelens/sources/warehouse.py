@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from forgelens.contracts import BUCKETS, SLICE, Grain, mart_schema
 from forgelens.operators.marts import project_contract
-from forgelens.sources.staging import file_names, remove, slice_dir
+from forgelens.sources.raw import slice_paths
+from forgelens.sources.staging import remove, slice_dir
 
 Slices = Sequence[tuple[date, int]]
 
@@ -21,14 +22,21 @@ def _emptied(spark: SparkSession, path: str, owned: Slices | None) -> Iterator[l
     """Gathers the owned slices that the write inside the block left as they were.
 
     Dynamic overwrite replaces all files of a slice that gets rows; a slice that still has a
-    file from before got none. Only the owned slices' directories are listed.
+    file from before got none. The owned slices are listed by Spark, once before and once after.
     """
-    before = {s: file_names(spark, slice_dir(path, *s)) for s in owned or ()}
+    before = _files(spark, path, owned or ())
     empty: list[tuple[date, int]] = []
     yield empty
-    for day_hour, names in before.items():
-        if names & file_names(spark, slice_dir(path, *day_hour)):
-            empty.append(day_hour)
+    if before:
+        left = before & _files(spark, path, owned or ())
+        gone = {"/".join(name.split("/")[-3:-1]) for name in left}
+        empty += [s for s in owned or () if f"dt={s[0].isoformat()}/hr={s[1]}" in gone]
+
+
+def _files(spark: SparkSession, path: str, slices: Slices) -> set[str]:
+    """Paths of the files of the slices; Spark lists many directories in tasks."""
+    paths = slice_paths(spark, path, slices) if slices else []
+    return set(spark.read.schema("_any int").option("basePath", path).parquet(*paths).inputFiles()) if paths else set()
 
 
 def write_slices(table: DataFrame, path: str, slice_cols: Sequence[str] = SLICE, owned: Slices | None = None) -> None:

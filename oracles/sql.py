@@ -567,6 +567,11 @@ def _pages() -> dict[str, str]:
         return comma(*[r(c) if "avg" in c else c for c in columns])
 
     return {
+        **{
+            f"report_store_{name}_summary": "SELECT dt, hr, count(*) AS entities, CAST(sum(total_events) AS BIGINT) AS total_events "
+            f"FROM {name}_summary_hour WHERE dt BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}' GROUP BY dt, hr"
+            for name in ("repo", "org")
+        },
         "page_repo_summary": f"SELECT * REPLACE ({averages}) FROM repo_page",
         "page_repo_table": f"SELECT {table(REPO_TABLE)} FROM repo_page",
         "page_repo_top_n": _page_sum("repo_full_name", "repo_page")

@@ -11,7 +11,7 @@ from forgelens.contracts import EVENT_COUNTS, EVENT_RATIOS, EVENT_TYPES, SLICE,
 from forgelens.functions.expressions import ratio
 
 # Sets whose size is a metric: dimension -> (event column, metric).
-_DISTINCT = {
+DISTINCT = {
     "actor": ("actor_id", "unique_actors"),
     "issue": ("issue_id", "issues_count"),
     "comment": ("comment_id", "comments_count"),
@@ -43,7 +43,7 @@ def entity_counts(events: DataFrame, grain: Grain, slice_cols: Sequence[str] = S
     members in the first shuffle and is down to one row per task in the second.
     """
     keys = [*slice_cols, *grain.keys]
-    distinct = {d: v for d, v in _DISTINCT.items() if d != "repo" or "repos_count" in grain.extra_counts}
+    distinct = {d: v for d, v in DISTINCT.items() if d != "repo" or "repos_count" in grain.extra_counts}
     facts = valid_events(events, grain).selectExpr(
         *keys,
         "created_at",

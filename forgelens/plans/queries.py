@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from forgelens.contracts import DASHBOARDS, EVENT_RATIOS, ORG, REPO, SCORES, SLICE, Grain, mart_schema, require_contract
 from forgelens.functions.expressions import round_doubles
-from forgelens.operators import dashboards, enrichment, pages, profile
+from forgelens.operators import dashboards, enrichment, pages, partials, profile
 from forgelens.operators.candidates import metric_leaders, select_candidates
 from forgelens.operators.flatten import flatten_events, with_event_slice
 from forgelens.operators.marts import build_mart, latest_per_key, match_rate, project_contract
@@ -198,6 +198,15 @@ def _metric_queries(grain: Grain) -> None:
         def _(spark, sf, by=by):
             return _metrics(spark, sf, grain, by).select(*by, *counts)
 
+    for suffix, by in (("", WHOLE), ("_daily", DAY)):
+
+        @query(f"{grain.name}_metrics{suffix}_from_hours")
+        def _(spark, sf, by=by):
+            """Derived from stored partials of hours; no event is read for the coarser slices."""
+            events = tables.events_flat(spark, sf)
+            sums, sets = stage(partials.hourly_sums(events, grain)), stage(partials.hourly_sets(events, grain))
+            return partials.rolled_up(sums, sets, grain, by).select(*by, *counts, *SCORES)
+
     @query(f"{grain.name}_metric_ratios")
     def _(spark, sf):
         return _metrics(spark, sf, grain, WHOLE).select(*grain.keys, *EVENT_RATIOS)

@@ -22,7 +22,7 @@ from forgelens.contracts import (
     metrics_schema,
     require_contract,
 )
-from forgelens.operators import dashboards, enrichment
+from forgelens.operators import dashboards, enrichment, partials
 from forgelens.operators.candidates import select_candidates
 from forgelens.operators.flatten import flatten_events, rejected_lines, with_event_slice
 from forgelens.operators.marts import build_mart, latest_per_key
@@ -81,6 +81,28 @@ def aggregate(spark: SparkSession, layout: Layout, slices: Slices | None = None)
         write_slices(entity_metrics(events, grain), layout.path("silver", f"{grain.name}_aggregates"), owned=slices)
 
 
+def summarise(spark: SparkSession, layout: Layout, slices: Slices | None = None) -> None:
+    """Store the partial metrics of hours, from which coarser slices are derived (``daily``)."""
+    events = read_slices(spark, layout.path("bronze", "events_flat"), slices, in_slice(EVENTS_FLAT))
+    for grain in (REPO, ORG):
+        with staging(spark):
+            write_slices(partials.hourly_sums(events, grain), layout.path("silver", f"{grain.name}_sums"), owned=slices)
+            write_slices(partials.hourly_sets(events, grain), layout.path("silver", f"{grain.name}_sets"), owned=slices)
+
+
+def daily(spark: SparkSession, layout: Layout, days: Sequence[date]) -> None:
+    """Replace the daily metrics of ``days`` by those of their stored hours; no event is read.
+
+    To be run after ``summarise`` for the days whose hours came or changed.
+    """
+    for grain in (REPO, ORG):
+        hours = [(day, hour) for day in days for hour in range(24)]
+        sums, sets = (read_slices(spark, layout.path("silver", f"{grain.name}_{table}"), hours) for table in ("sums", "sets"))
+        with staging(spark):
+            path = layout.path("silver", f"{grain.name}_daily")
+            write_slices(partials.rolled_up(sums, sets, grain, ("dt",)), path, ("dt",))
+
+
 def rank(spark: SparkSession, layout: Layout, top_n: int = 100, slices: Slices | None = None) -> None:
     for grain in (REPO, ORG):
         metrics = read_slices(spark, layout.path("silver", f"{grain.name}_aggregates"), slices, in_slice(metrics_schema(grain)))

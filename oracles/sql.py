@@ -611,6 +611,8 @@ def _metric_oracles(grain: Grain) -> dict[str, str]:
     for name, suffix in (("", "all"), ("_daily", "day"), ("_hourly", "hour")):
         columns = comma(*BY[suffix], *grain.keys, *grain.counts, "last_event_at")
         out[f"{grain.name}_metrics{name}"] = f"SELECT {columns} FROM {grain.name}_metrics_{suffix}"
+        if suffix != "hour":
+            out[f"{grain.name}_metrics{name}_from_hours"] = f"SELECT {columns}, {comma(*rounded(SCORES))} FROM {grain.name}_metrics_{suffix}"
     out[f"{grain.name}_metric_ratios"] = f"SELECT {keys}, {comma(*rounded(EVENT_RATIOS))} FROM {grain.name}_metrics_all"
     out[f"{grain.name}_scores"] = f"SELECT {keys}, {comma(*rounded(SCORES))} FROM {grain.name}_metrics_all"
     replace = ", ".join(rounded(EVENT_RATIOS + SCORES))

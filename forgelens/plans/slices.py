@@ -149,8 +149,8 @@ def _add(spark: SparkSession, new: DataFrame, path: str, merge: Callable[[DataFr
     new = stage(new)
     touched = [(r.dt, r.hr) for r in new.select(*SLICE).distinct().collect()]  # one pair for each hour loaded
     before = _stored(spark, path, touched) if touched else None
-    # Stored before it is written: the slices it is read from are the ones replaced.
-    write_slices(merge(new) if before is None else stage(merge(before.select(new.columns).unionByName(new))), path)
+    # The slices it is read from stay until the merged ones are complete.
+    write_slices(merge(new) if before is None else merge(before.select(new.columns).unionByName(new)), path)
 
 
 def curate(spark: SparkSession, layout: Layout, database: str = "default", slices: Slices | None = None) -> None:

@@ -52,6 +52,35 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; the folders above its new place are made."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    store = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(new.getParent())
+    if not store.rename(old, new):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file; it appears under its name when it is whole."""
+    place, part = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.part"))
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = store.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not store.rename(part, place):
+        raise OSError(f"could not write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return spark.read.option("wholetext", True).text(path).first()[0]
+
+
 def day_dir(root: str, day: date) -> str:
     return f"{root.rstrip('/')}/dt={day.isoformat()}"
 

@@ -1,9 +1,18 @@
-"""Slice-partitioned and bucketed tables: write whole slices, replace only those."""
+"""Slice-partitioned and bucketed tables: write whole slices, replace only those, all or none.
+
+A write goes to a folder beside the table first. When it is complete, a plan of the slices to replace
+and to clear is stored with it, and only then their directories are exchanged. A failure before
+the plan leaves the table as it was; one after it is finished by the next write, or by
+``recover``, as everything it needs is there. A table has one writer at a time; a reader sees each
+slice as it was or as it is, not the moment of the exchange of all of them.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+import json
+import uuid
+from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,25 +21,68 @@ from pyspark.sql import functions as F
 from forgelens.contracts import BUCKETS, SLICE, Grain, mart_schema
 from forgelens.operators.marts import project_contract
 from forgelens.sources.raw import slice_paths
-from forgelens.sources.staging import remove, slice_dir
+from forgelens.sources.staging import children, make_folder, move, read_text, remove, write_text
 
 Slices = Sequence[tuple[date, int]]
+Plan = dict[str, list[str]]  # directories below the table to "replace" and to "clear"
+
+_PLAN = "publish.json"
+_AT_ONCE = 16
+
+
+def _beside(path: str) -> str:
+    return f"{path.rstrip('/')}.pending"
+
+
+def _leaves(files: Iterable[str], depth: int) -> set[str]:
+    """``dt=.../hr=...`` of the files' paths."""
+    return {"/".join(file.split("/")[-1 - depth : -1]) for file in files}
+
+
+def _publish(spark: SparkSession, path: str, work: str, depth: int, owned: Slices | None) -> Plan:
+    """Store the plan of a complete write and carry it out."""
+    made = _leaves(spark.read.schema("_any int").parquet(f"{work}/new").inputFiles(), depth)
+    there = _leaves(_files(spark, path, owned or ()), len(SLICE))
+    mine = {f"dt={day.isoformat()}/hr={hour}" for day, hour in owned or ()}
+    plan = {"replace": sorted(made), "clear": sorted((there & mine) - made)}
+    write_text(spark, f"{work}/{_PLAN}", json.dumps(plan))
+    return _carry_out(spark, path, work, plan)
+
 
+def _carry_out(spark: SparkSession, path: str, work: str, plan: Plan, again: bool = False) -> Plan:
+    """Exchange the directories of a plan; ``again``: what an earlier try has done already is left."""
 
-@contextmanager
-def _emptied(spark: SparkSession, path: str, owned: Slices | None) -> Iterator[list[tuple[date, int]]]:
-    """Gathers the owned slices that the write inside the block left as they were.
+    def exchange(leaf: str) -> None:
+        if not again or children(spark, f"{work}/new/{leaf}"):
+            remove(spark, f"{path}/{leaf}")
+            move(spark, f"{work}/new/{leaf}", f"{path}/{leaf}")
 
-    Dynamic overwrite replaces all files of a slice that gets rows; a slice that still has a
-    file from before got none. The owned slices are listed by Spark, once before and once after.
+    make_folder(spark, path)
+    with ThreadPoolExecutor(_AT_ONCE) as pool:  # storage calls: waiting, not work
+        list(pool.map(exchange, plan["replace"]))
+        list(pool.map(lambda leaf: remove(spark, f"{path}/{leaf}"), plan["clear"]))
+    remove(spark, work)
+    if not children(spark, _beside(path)):
+        remove(spark, _beside(path))
+    return plan
+
+
+def recover(spark: SparkSession, path: str) -> list[Plan]:
+    """Finish the writes that failed while slices were exchanged, undo those that failed before.
+
+    Returns the plans that were finished. Costs one storage call if there is nothing to do.
     """
-    before = _files(spark, path, owned or ())
-    empty: list[tuple[date, int]] = []
-    yield empty
-    if before:
-        left = before & _files(spark, path, owned or ())
-        gone = {"/".join(name.split("/")[-3:-1]) for name in left}
-        empty += [s for s in owned or () if f"dt={s[0].isoformat()}/hr={s[1]}" in gone]
+    finished = []
+    for name in sorted(children(spark, _beside(path))):
+        work = f"{_beside(path)}/{name}"
+        if _PLAN in children(spark, work):
+            plan = json.loads(read_text(spark, f"{work}/{_PLAN}"))
+            finished.append(_carry_out(spark, path, work, plan, again=True))
+        else:
+            remove(spark, work)
+    if not finished:
+        remove(spark, _beside(path))
+    return finished
 
 
 def _files(spark: SparkSession, path: str, slices: Slices) -> set[str]:
@@ -48,12 +100,10 @@ def write_slices(table: DataFrame, path: str, slice_cols: Sequence[str] = SLICE,
     over several tasks, so that neither many tiny files nor one huge task come up.
     """
     spark = table.sparkSession
-    with _emptied(spark, path, owned) as empty:
-        balanced = table.hint("rebalance", *slice_cols)
-        writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*slice_cols).parquet(path)
-    for day, hour in empty:
-        remove(spark, slice_dir(path, day, hour))
+    recover(spark, path)
+    work = f"{_beside(path)}/{uuid.uuid4().hex}"
+    table.hint("rebalance", *slice_cols).write.partitionBy(*slice_cols).parquet(f"{work}/new")
+    _publish(spark, path, work, len(slice_cols), owned)
 
 
 def write_bucketed(
@@ -62,39 +112,55 @@ def write_bucketed(
     """Write the mart as a table partitioned by slice and bucketed by entity id.
 
     The first call creates the table, later ones replace the slices they bring and clear the
-    ``owned`` ones that come out empty. That holds in any session: dynamic overwrite is stored
-    with the table, as ``insertInto`` takes it from there. A table without it, or at another
-    place than ``path``, is refused. Rows are shuffled by slice and bucket, which leaves one
+    ``owned`` ones that come out empty, in any session. A table with other buckets or at another place
+    than ``path`` is refused. Rows are shuffled by slice and bucket, which leaves one
     sorted file per bucket and slice while all slices are written in parallel.
     """
     spark = mart.sparkSession
     buckets = BUCKETS[grain.name]
     contract = project_contract(mart, mart_schema(grain), slice_cols)
+    exists = spark.catalog.tableExists(table)
+    if exists:
+        _require_same(spark, table, path, buckets, grain.id)
+        for plan in recover(spark, path):
+            _register(spark, table, plan)
+        contract = contract.select(*spark.table(table).columns)
+    work = f"{_beside(path)}/{uuid.uuid4().hex}"
     placed = contract.repartition(*slice_cols, F.pmod(F.hash(grain.id), F.lit(buckets)))
-    if spark.catalog.tableExists(table):
-        _require_dynamic(spark, table, path)
-        with _emptied(spark, path, owned) as empty:
-            placed.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-        for day, hour in empty:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (dt = DATE '{day.isoformat()}', hr = {hour})")
-            remove(spark, slice_dir(path, day, hour))
+    writer = placed.write.format("parquet").option("compression", "snappy")
+    writer = writer.partitionBy(*slice_cols).bucketBy(buckets, grain.id).sortBy(grain.id)
+    if not exists:
+        writer.option("path", path).saveAsTable(table)
         return
-    (
-        placed.write.format("parquet")
-        .option("path", path)
-        .option("compression", "snappy")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*slice_cols)
-        .bucketBy(buckets, grain.id)
-        .sortBy(grain.id)
-        .saveAsTable(table)
-    )
-
-
-def _require_dynamic(spark: SparkSession, table: str, path: str) -> None:
+    # A table of its own gives the files their bucket numbers; dropping it leaves them.
+    beside = f"{table}_{work[-32:]}"
+    try:
+        writer.option("path", f"{work}/new").saveAsTable(beside)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {beside}")
+    _register(spark, table, _publish(spark, path, work, len(slice_cols), owned))
+
+
+def _register(spark: SparkSession, table: str, plan: Plan) -> None:
+    """Tell the catalog the slices that a plan has made and cleared."""
+
+    def specs(leaves: list[str]) -> list[str]:
+        values = [[part.split("=", 1) for part in leaf.split("/")] for leaf in leaves]
+        literal = lambda v: "NULL" if v == "__HIVE_DEFAULT_PARTITION__" else f"'{v}'"
+        return [f"PARTITION ({', '.join(f'{k} = {literal(v)}' for k, v in leaf)})" for leaf in values]
+
+    made, gone = specs(plan["replace"]), specs(plan["clear"])
+    for start in range(0, len(made), 500):
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(made[start : start + 500])}")
+    for start in range(0, len(gone), 500):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(gone[start : start + 500])}")
+    spark.catalog.refreshTable(table)
+
+
+def _require_same(spark: SparkSession, table: str, path: str, buckets: int, key: str) -> None:
     about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
-    if "partitionoverwritemode=dynamic" not in (about.get("Storage Properties") or "").lower():
-        raise ValueError(f"{table} was not written by write_bucketed: an insert could replace all of its slices")
+    if about.get("Num Buckets") != str(buckets) or about.get("Bucket Columns") != f"[`{key}`]":
+        raise ValueError(f"{table} was not written by write_bucketed: it is not in {buckets} buckets of {key}")
     plain = lambda p: p.split(":", 1)[-1].lstrip("/").rstrip("/") if p.startswith("file:") else p.strip("/")
     if plain(about["Location"]) != plain(path):
         raise ValueError(f"{table} is stored at {about['Location']}, not at {path}")

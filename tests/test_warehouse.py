@@ -8,6 +8,7 @@ import pytest
 from builders import DAY, REPO, events, metrics
 from forgelens.operators.marts import project_contract
 from forgelens.contracts import mart_schema
+from forgelens.sources import warehouse
 from forgelens.sources.raw import calendar_of, in_slices, read_slices, slice_calendar
 from forgelens.sources.staging import shared_dir, stage
 from forgelens.sources.warehouse import write_bucketed, write_slices
@@ -133,3 +134,43 @@ def test_bucketed_slices_stay_in_a_static_session(spark, tmp_path):
         spark.conf.set(mode, before)
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.sql("DROP TABLE IF EXISTS not_bucketed")
+
+
+def _totals(frame):
+    return {(r.dt, r.hr): r[2] for r in frame.groupBy("dt", "hr").sum("total_events").collect()}
+
+
+def _broken(*_, **__):
+    raise OSError("the driver is lost")
+
+
+@pytest.mark.parametrize("bucketed", [False, True])
+def test_a_failed_write_leaves_all_slices_or_is_finished(spark, tmp_path, monkeypatch, bucketed):
+    """Lost before the plan is stored: nothing has changed. Lost amid the exchange: the next write finishes it."""
+    path, table = str(tmp_path / "t"), f"failing_{bucketed}".lower()
+
+    def write(*slices, base, owned=None):
+        frame = metrics(spark, REPO, rows(*slices, base=base))
+        write_bucketed(frame, REPO, table, path, owned=owned) if bucketed else write_slices(frame, path, owned=owned)
+
+    def stored():
+        spark.catalog.clearCache()
+        return _totals(spark.table(table) if bucketed else spark.read.parquet(path))
+
+    old = {(DAY, 0): 3, (DAY, 1): 3, (NEXT, 0): 3}
+    write(*old, base=1)
+    with monkeypatch.context() as broken:
+        broken.setattr(warehouse, "write_text", _broken)
+        with pytest.raises(OSError, match="is lost"):
+            write((DAY, 0), (DAY, 2), base=9, owned=[(DAY, 1)])
+    assert stored() == old
+    with monkeypatch.context() as broken:
+        move = warehouse.move
+        broken.setattr(warehouse, "move", lambda *a: _broken() if a[-1].endswith("hr=2") else move(*a))
+        with pytest.raises(OSError, match="is lost"):
+            write((DAY, 0), (DAY, 2), base=5, owned=[(DAY, 0), (DAY, 1), (DAY, 2)])
+    write((NEXT, 3), base=7)
+    assert stored() == {(DAY, 0): 15, (DAY, 2): 15, (NEXT, 0): 3, (NEXT, 3): 21}
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    if bucketed:
+        spark.sql(f"DROP TABLE {table}")

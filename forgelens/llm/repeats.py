@@ -6,7 +6,8 @@
 2. Anchors whose hash occurs once in all texts (exact copies of a text count once) can't hold a
    repeat. The others' runs are cut out of the texts, and equal cuts become one row with the
    earliest place; the later ones are removed as a whole.
-3. Different cuts with the same anchor are sorted: ``induced.suffix_array`` gives their suffixes
+3. Different cuts with the same anchor are aligned on it, and windows that no other one has where
+   they stand are left out. The rest is sorted: ``induced.suffix_array`` gives its suffixes
    and common prefixes, blocks of whole anchor groups at a time. Suffixes that share ``WINDOW``
    bytes stand together; all but the earliest of them are removed.
 4. An anchor with more than ``CROWD`` different cuts (a frequent line in ever new surroundings)
@@ -21,6 +22,7 @@ SHA-256, cuts by 128-bit hashes, anchors by 64-bit hashes that only propose cand
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -189,63 +191,127 @@ def _parts(cuts: DataFrame, size: int) -> DataFrame:
     return cuts.select("doc_id", "key", "start", "further", "way", "cut").mapInArrow(run, _CUT)
 
 
-def _spans_of(hit: np.ndarray) -> list[tuple[int, int]]:
-    """Bytes (from, to) that windows from the ``hit`` places cover, per stretch of successive ones."""
-    cuts = np.flatnonzero(np.diff(hit) > 1)
-    first, last = np.append(hit[:1], hit[cuts + 1]), np.append(hit[cuts], hit[-1:])
-    return list(zip(first.tolist(), (last + WINDOW).tolist(), strict=True))
+@dataclass
+class _Pieces:
+    """Stretches of windows: where they stand in their texts, and their bytes."""
 
+    ids: np.ndarray  # a null doc_id is the smallest long, and ``null`` says so
+    null: np.ndarray
+    keys: np.ndarray
+    starts: np.ndarray
+    further: np.ndarray
+    raw: list[bytes]
 
-def _sorted_repeats(cuts: list[tuple]) -> list[tuple]:
-    """(doc_id, key, from, to) in ``cuts`` (doc_id, key, start, further, bytes) of one block."""
-    suffixes, common, starts = suffix_array([c[4] for c in cuts])
-    ids = np.array([-(1 << 63) if c[0] is None else c[0] for c in cuts], np.int64)
-    start, further = np.array([c[2] for c in cuts]), np.array([c[3] for c in cuts])
+    @staticmethod
+    def of(parts: list[_Pieces]) -> _Pieces:
+        arrays = [np.concatenate([getattr(p, c) for p in parts]) for c in ("ids", "null", "keys", "starts", "further")]
+        return _Pieces(*arrays, [r for p in parts for r in p.raw])
+
+
+def _window_hashes(data: np.ndarray) -> np.ndarray:
+    """Hash of the WINDOW bytes from each place; equal bytes have equal hashes, and seldom others."""
+    base, inverse = _MIX[1], np.uint64(pow(int(_MIX[1]), -1, 1 << 64))
+    ups = np.full(len(data), base, np.uint64)
+    downs = np.full(len(data), inverse, np.uint64)
+    ups[:1] = downs[:1] = 1
+    sums = np.append(np.uint64(0), np.cumsum((data + np.uint64(1)) * np.cumprod(ups)))
+    n = max(0, len(data) - WINDOW + 1)
+    return (sums[WINDOW : WINDOW + n] - sums[:n]) * np.cumprod(downs)[:n]
+
+
+def _in_common(groups: pa.Table) -> _Pieces:
+    """What is left of whole anchor groups without the windows that only one cut has.
+
+    Equal windows have their anchor at the same place. So windows are compared by hash with those of
+    the other cuts that stand alike to the anchor; the sort then compares the bytes of what is left.
+    """
+    ids = groups["doc_id"].combine_chunks()
+    null = ids.is_null().to_numpy(zero_copy_only=False)
+    ids = pc.fill_null(ids, -(1 << 63)).to_numpy()
+    h, keys, starts, further, way = (groups[c].to_numpy() for c in ("h", "key", "start", "further", "way"))
+    data, offsets = _texts(groups["cut"].combine_chunks())
+    data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
+    sizes = further.astype(np.int64) + 1
+    cut = np.repeat(np.arange(len(sizes)), sizes)
+    inside = np.arange(len(cut)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    seen = _window_hashes(data)[offsets[cut] + inside]
+    seen ^= (h[cut].view(np.uint64) + (way[cut] - inside).astype(np.uint64)) * _MIX[2]
+    order = np.argsort(seen)
+    same = seen[order[1:]] == seen[order[:-1]]
+    common = np.zeros(len(seen), bool)
+    common[order[1:][same]] = common[order[:-1][same]] = True
+    cut, inside = cut[common], inside[common]
+    first, last = _stretches(cut, inside)
+    of, begin, end = cut[first], inside[first], inside[last] + WINDOW
+    whole = data.tobytes()
+    raw = [whole[a:b] for a, b in zip((offsets[of] + begin).tolist(), (offsets[of] + end).tolist(), strict=True)]
+    return _Pieces(ids[of], null[of], keys[of], starts[of] + begin, end - begin - WINDOW, raw)
+
+
+def _stretches(cut: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where stretches of successive windows of one cut begin and end; windows come in order."""
+    breaks = np.flatnonzero((np.diff(cut) != 0) | (np.diff(inside) > 1))
+    edge = np.arange(min(1, len(cut)))
+    return np.append(edge, breaks + 1), np.append(breaks, edge + len(cut) - 1)
+
+
+def _sorted_repeats(block: _Pieces) -> pa.RecordBatch:
+    """(doc_id, key, start, stop) of the windows in ``block`` that stand earlier in it too."""
+    suffixes, common, starts = suffix_array(block.raw)
     cut = np.searchsorted(starts, suffixes, "right") - 1
     inside = suffixes - starts[cut]
     group = np.cumsum(common < WINDOW)
-    own = inside <= further[cut]
+    own = inside <= block.further[cut]
     group, cut, inside = group[own], cut[own], inside[own]
-    place = start[cut] + inside
-    order = np.lexsort((place, ids[cut], group))
-    group, cut, inside, place = group[order], cut[order], inside[order], place[order]
+    ids, place = block.ids[cut], block.starts[cut] + inside
+    order = np.lexsort((place, ids, group))
+    group, cut, inside, ids, place = group[order], cut[order], inside[order], ids[order], place[order]
     head = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
     first = np.repeat(head, np.diff(np.append(head, len(group))))
-    later = (ids[cut] != ids[cut[first]]) | (place != place[first])
+    later = (ids != ids[first]) | (place != place[first])
     cut, inside = cut[later], inside[later]
-    out = []
-    for k in np.unique(cut).tolist():
-        spans = _spans_of(np.sort(inside[cut == k]))
-        out += [(cuts[k][0], cuts[k][1], cuts[k][2] + a, cuts[k][2] + b) for a, b in spans]
-    return out
+    order = np.lexsort((inside, cut))
+    cut, inside = cut[order], inside[order]
+    head, last = _stretches(cut, inside)
+    of = cut[head]
+    start = block.starts[of] + inside[head]
+    stop = block.starts[of] + inside[last] + WINDOW
+    columns = [pa.array(block.ids[of], pa.int64(), mask=block.null[of]), *(pa.array(c, pa.int64()) for c in (block.keys[of], start, stop))]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "start", "stop"])
 
 
 _SPAN = "doc_id long, key long, start long, stop long"
 
 
-def _spans_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [[]] * 4
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "key", "start", "stop"])
-
-
 def _by_sorting(cuts: DataFrame) -> DataFrame:
     """Spans of the sorted blocks; a block holds whole anchor groups."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block: list[tuple] = []
-        size, anchor = 0, None
-        for batch in batches:
-            for h, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if h != anchor and size >= _BLOCK:
-                    yield _spans_batch(_sorted_repeats(block))
-                    block, size = [], 0
-                anchor = h
-                block.append(tuple(row))
-                size += len(row[-1])
-        if block:
-            yield _spans_batch(_sorted_repeats(block))
-
-    dealt = cuts.select("h", "doc_id", "key", "start", "further", "cut").repartition("h").sortWithinPartitions("h")
+        def blocks() -> Iterator[pa.Table]:
+            held: list[pa.RecordBatch] = []
+            for batch in batches:
+                held.append(batch)
+                if sum(b.nbytes for b in held) < _BLOCK:
+                    continue
+                rows = pa.Table.from_batches(held)
+                # The last group may go on in the next batch.
+                n = int(pc.sum(pc.not_equal(rows["h"], rows["h"][-1])).as_py() or 0)
+                if n:
+                    yield rows.slice(0, n)
+                    held = rows.slice(n).combine_chunks().to_batches()
+            if held:
+                yield pa.Table.from_batches(held)
+
+        ready: list[_Pieces] = []
+        for rows in blocks():
+            ready.append(_in_common(rows))
+            if sum(len(r) for p in ready for r in p.raw) >= _BLOCK:
+                yield _sorted_repeats(_Pieces.of(ready))
+                ready = []
+        if any(p.raw for p in ready):
+            yield _sorted_repeats(_Pieces.of(ready))
+
+    dealt = cuts.select("h", "doc_id", "key", "start", "further", "way", "cut").repartition("h").sortWithinPartitions("h")
     return dealt.mapInArrow(run, _SPAN)
 
 

@@ -228,10 +228,11 @@ def _in_common(groups: pa.Table) -> _Pieces:
     ids = groups["doc_id"].combine_chunks()
     null = ids.is_null().to_numpy(zero_copy_only=False)
     ids = pc.fill_null(ids, -(1 << 63)).to_numpy()
-    h, keys, starts, further, way = (groups[c].to_numpy() for c in ("h", "key", "start", "further", "way"))
+    h, keys, at = (groups[c].to_numpy() for c in ("h", "key", "at"))
+    starts, further, way = at >> 14, at >> 7 & 127, at & 127
     data, offsets = _texts(groups["cut"].combine_chunks())
     data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
-    sizes = further.astype(np.int64) + 1
+    sizes = further + 1
     cut = np.repeat(np.arange(len(sizes)), sizes)
     inside = np.arange(len(cut)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     seen = _window_hashes(data)[offsets[cut] + inside]
@@ -311,7 +312,8 @@ def _by_sorting(cuts: DataFrame) -> DataFrame:
         if any(p.raw for p in ready):
             yield _sorted_repeats(_Pieces.of(ready))
 
-    dealt = cuts.select("h", "doc_id", "key", "start", "further", "way", "cut").repartition("h").sortWithinPartitions("h")
+    at = F.expr("start << 14 | further << 7 | way").alias("at")  # one long to shuffle, not three
+    dealt = cuts.select("h", "doc_id", "key", at, "cut").repartition("h").sortWithinPartitions("h")
     return dealt.mapInArrow(run, _SPAN)
 
 

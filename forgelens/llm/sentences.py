@@ -14,6 +14,7 @@ third of all texts share is no large group, and the join back to the places can
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,15 +33,40 @@ SPAN = 3
 # Chinese and Japanese (also half-width), Indic danda, Arabic and Urdu, Ethiopic, Armenian, Burmese, Khmer, Tibetan.
 _MARKS = "\u3002\uff0e\uff01\uff1f\uff61\u0964\u0965\u06d4\u061f\u1362\u1367\u0589\u104a\u104b\u17d4\u17d5\u0f0d\u0f0e\u203c\u2047\u2048\u2049"
 _BREAK = re.compile(rf"[.!?]+\s+|[.!?]*[{_MARKS}][.!?{_MARKS}]*[\u300d\u300f\u201d\u2019\uff09\u3011\u300b]*\s*|\s*\n\s*")
+_WORD = re.compile(r"\S+\s*")
 _MASK = 0xFFFFFF
+LONGEST = 12
+_EVERY = 8
+_CLAUSE = 4
 
 
-def sentences(text: str | None) -> list[str]:
-    """Pieces of the text that make it up again; white space stays with the sentence before."""
+def sentences(text: str | None, longest: int | None = LONGEST) -> list[str]:
+    """Pieces of the text that make it up again; white space stays with the sentence before.
+
+    Sentences of more than ``longest`` words are cut further, after words chosen by their hash alone (one
+    in 8, four words at least to a piece), so that copies of a passage are cut alike wherever it stands.
+    """
     text = text or ""
     stops = [m.end() for m in _BREAK.finditer(text)]
     starts = [0, *stops]
-    return [text[a:b] for a, b in zip(starts, [*stops, len(text)], strict=True) if b > a]
+    pieces = [text[a:b] for a, b in zip(starts, [*stops, len(text)], strict=True) if b > a]
+    return pieces if longest is None else [c for p in pieces for c in _clauses(p, longest)]
+
+
+def _clauses(sentence: str, longest: int) -> list[str]:
+    """``sentence``, cut further if it has more than ``longest`` words."""
+    if len(sentence) <= 2 * longest:  # a word and its gap take two characters at least
+        return [sentence]
+    words = [(m.end(), m.group().rstrip().lower()) for m in _WORD.finditer(sentence)]
+    if len(words) <= longest:
+        return [sentence]
+    out, start, count = [], 0, 0
+    for stop, word in words[:-1]:
+        count += 1
+        if count >= _CLAUSE and zlib.crc32(word.encode("utf-8", "surrogatepass")) % _EVERY == 0:
+            out.append(sentence[start:stop])
+            start, count = stop, 0
+    return [*out, sentence[start:]]
 
 
 def _runs(pieces: list[str], span: int) -> tuple[np.ndarray, np.ndarray]:
@@ -55,7 +81,7 @@ def _runs(pieces: list[str], span: int) -> tuple[np.ndarray, np.ndarray]:
     return out[:, 0].copy().view(np.int64), (out[:, 1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def _places(docs: DataFrame, span: int, short: bool) -> DataFrame:
+def _places(docs: DataFrame, span: int, short: bool, longest: int | None) -> DataFrame:
     """(h, c, doc_id, at): each run of ``docs`` (doc_id, mark, text); at holds the sentence number and the mark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,7 +90,7 @@ def _places(docs: DataFrame, span: int, short: bool) -> DataFrame:
             ids, marks = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
             hashes, checks, rows, numbers = [], [], [], []
             for k, text in enumerate(batch.column(2).to_pylist()):
-                pieces = sentences(text)
+                pieces = sentences(text, longest)
                 if len(pieces) >= span or (short and "".join(pieces).strip()):
                     h, c = _runs(pieces, min(span, len(pieces)))
                     hashes.append(h)
@@ -79,17 +105,18 @@ def _places(docs: DataFrame, span: int, short: bool) -> DataFrame:
     return docs.mapInArrow(run, "h long, c int, doc_id long, at long")
 
 
-def cut_repeated_spans(docs: DataFrame, span: int = SPAN, short: bool = False) -> DataFrame:
+def cut_repeated_spans(docs: DataFrame, span: int = SPAN, short: bool = False, longest: int | None = None) -> DataFrame:
     """``docs`` (doc_id, text and any other columns) without the repeated sentences.
 
     ``text`` is what is left, ``n_sentences`` and ``n_removed`` are added; columns with these
     names are replaced. A null text stays null and has no sentence. Texts of fewer than ``span``
     sentences have no run and stay whole, unless ``short``: then such a text is one run and goes
-    where another text of the same sentences stands before it. Rows repeated with one doc_id and text are at the same
+    where another text of the same sentences stands before it. With ``longest``, sentences of more
+    words are cut into clauses, which count as sentences. Rows repeated with one doc_id and text are at the same
     place and so don't remove each other.
     """
     marked = docs.withColumn("__mark", F.xxhash64("text").bitwiseAND(F.lit(_MASK)))
-    places = _places(marked.select("doc_id", "__mark", "text"), span, short)
+    places = _places(marked.select("doc_id", "__mark", "text"), span, short, longest)
     first = places.groupBy("h", "c").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max(F.struct("doc_id", "at")).alias("last"))
     # Stored: a join between two shuffles is split where a run is frequent, one with a sum is not.
     first = stage(first.where("not (first <=> last)").drop("last"))
@@ -111,7 +138,7 @@ def cut_repeated_spans(docs: DataFrame, span: int = SPAN, short: bool = False) -
             texts, sizes, removed = [], [], []
             for packed, runs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 text = None if packed is None else unpack(packed).decode("utf-8", "surrogatepass")
-                pieces = sentences(text)
+                pieces = sentences(text, longest)
                 gone = {i + k for i in runs or () for k in range(min(span, len(pieces)))}
                 texts.append("".join(p for i, p in enumerate(pieces) if i not in gone) if gone else text)
                 sizes.append(len(pieces))
@@ -124,5 +151,5 @@ def cut_repeated_spans(docs: DataFrame, span: int = SPAN, short: bool = False) -
 
 def op10_substring_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_sentences, n_removed, kept_sha256 of all documents; a null text counts as empty."""
-    out = cut_repeated_spans(docs.select("doc_id", "text"))
+    out = cut_repeated_spans(docs.select("doc_id", "text"), longest=LONGEST)
     return out.select("doc_id", "n_sentences", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))

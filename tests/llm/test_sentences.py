@@ -74,3 +74,14 @@ def test_short_texts_are_one_run_if_asked(spark):
     assert {d: n for d, (_, n) in out.items() if n} == {2: 1, 5: 2}
     assert out[2][0] == out[5][0] == "" and out[3][0] == f"{long} {long}" and out[10][0] is None
     assert not any(r.n_removed for r in sentences.cut_repeated_spans(docs).collect())
+
+
+def test_long_sentences_are_cut_alike_wherever_they_stand(spark):
+    passage = " ".join(f"stone{i * i % 89} river{i}" for i in range(60))
+    around = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcd"]
+    docs = [(1, f"{around[0]} {passage} {around[1]}."), (2, f"{around[2]} {passage} {around[3]}."), (3, f"{around[0]} and nothing else")]
+    assert all("".join(sentences.sentences(t)) == t for _, t in docs)
+    assert all(len(p.split()) >= 4 for p in sentences.sentences(docs[0][1])[:-1])
+    out = {r.doc_id: r for r in sentences.cut_repeated_spans(spark.createDataFrame(docs, "doc_id long, text string"), longest=12).collect()}
+    assert out[1].n_removed == 0 and out[1].text == docs[0][1] and len(out[2].text.split()) < 110
+    assert {w for w in out[2].text.split() if w[0] in "cd"} == {w.rstrip() for w in f"{around[2]} {around[3]}.".split()}

@@ -57,13 +57,14 @@ def _clauses(sentence: str, longest: int) -> list[str]:
     """``sentence``, cut further if it has more than ``longest`` words."""
     if len(sentence) <= 2 * longest:  # a word and its gap take two characters at least
         return [sentence]
-    words = [(m.end(), m.group().rstrip().lower()) for m in _WORD.finditer(sentence)]
+    words = _WORD.findall(sentence)
     if len(words) <= longest:
         return [sentence]
-    out, start, count = [], 0, 0
-    for stop, word in words[:-1]:
+    out, start, stop, count = [], 0, len(sentence) - sum(map(len, words)), 0
+    for word in words[:-1]:
+        stop += len(word)
         count += 1
-        if count >= _CLAUSE and zlib.crc32(word.encode("utf-8", "surrogatepass")) % _EVERY == 0:
+        if count >= _CLAUSE and zlib.crc32(word.rstrip().lower().encode("utf-8", "surrogatepass")) % _EVERY == 0:
             out.append(sentence[start:stop])
             start, count = stop, 0
     return [*out, sentence[start:]]

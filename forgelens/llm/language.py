@@ -6,19 +6,20 @@ of the smallest result is chosen. The score is the share by which the next large
 larger; below ``min_margin`` the choice is marked as rejected. Equal sizes go to the language
 with more training texts.
 
-The dictionaries come from about ``SAMPLE`` documents a language, picked by a hash of their id,
-of which at most ``PIECE`` characters each go in: the only sample here. They are broadcast, and
-their size is bounded by that of one times the number of languages.
+The dictionaries come from about ``SAMPLE`` documents a language, picked by a hash of their id: the
+only sample here. A sampled text is parted into equal stretches, up to ``PARTS``, each of which gives at most
+``PIECE`` characters from a hashed place in it; texts that are no longer than all of these go in whole. The documents take turns, one
+piece each, until the dictionary is full. The dictionaries are broadcast, and their size is bounded
+by that of one times the number of languages.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,11 +27,15 @@ from forgelens.llm.common import append_columns, held_out
 
 DICTIONARY = 1 << 17
 SAMPLE = 512
-PIECE = 2048
+PARTS = 8
+PIECE = 256
 MIN_MARGIN = 0.005
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+
+def has_letter(text: str | None) -> bool:
+    """Whether a character of the text is a letter by its Unicode category; numerals are none."""
+    return text is not None and any(map(str.isalpha, text))
 
 
 @dataclass
@@ -52,6 +57,31 @@ class Dictionaries:
         return out
 
 
+def _pieces() -> Column:
+    """Lower-case pieces of ``text``, one of each of its equal stretches."""
+    size = F.length("text").cast("long")
+    parts = F.greatest(F.lit(1), F.least(F.lit(PARTS), F.ceil(size / PIECE)))
+
+    def piece(part: Column) -> Column:
+        start = F.floor(part * size / parts)
+        wide = F.floor((part + 1) * size / parts) - start
+        shift = F.pmod(F.xxhash64("doc_id", "text", part), F.greatest(wide - PIECE, F.lit(0)) + 1)
+        return F.lower(F.substring(F.col("text"), (start + shift + 1).cast("int"), F.least(wide, F.lit(PIECE)).cast("int")))
+
+    return F.transform(F.sequence(F.lit(0), parts - 1), piece)
+
+
+def _content(texts: list[list[str]]) -> bytes:
+    """At most ``DICTIONARY`` bytes of pieces, one of each text in turn; texts begin at different stretches."""
+    out, size = [], 0
+    for turn in range(PARTS):
+        for k, pieces in enumerate(texts):
+            if turn < len(pieces) and size < DICTIONARY:
+                out.append(pieces[(turn + k) % len(pieces)].encode("utf-8", "surrogatepass"))
+                size += len(out[-1]) + 1
+    return b"\n".join(out)[:DICTIONARY]
+
+
 def learn(docs: DataFrame) -> Dictionaries:
     """Dictionaries from ``docs`` (doc_id, text, lang). Rows with a null text or lang teach nothing."""
     known = docs.where("text is not null and lang is not null")
@@ -61,13 +91,13 @@ def learn(docs: DataFrame) -> Dictionaries:
     share = docs.sparkSession.createDataFrame([(k, SAMPLE / n) for k, n in counts.items()], "__lang string, __share double")
     drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     sample = known.join(share, F.col("lang") == F.col("__lang")).where(drawn < F.col("__share"))
-    rows = sample.select("lang", drawn.alias("at"), F.lower(F.substring("text", 1, PIECE)).alias("piece")).collect()
-    pieces: dict[str, list[bytes]] = {lang: [] for lang in counts}
-    for row in sorted(rows, key=lambda r: (r["lang"], r["at"], r["piece"])):
-        pieces[row["lang"]].append(row["piece"].encode("utf-8", "surrogatepass"))
+    rows = sample.select("lang", drawn.alias("at"), _pieces().alias("pieces")).collect()
+    texts: dict[str, list[list[str]]] = {lang: [] for lang in counts}
+    for row in sorted(rows, key=lambda r: (r["lang"], r["at"], r["pieces"])):
+        texts[row["lang"]].append(row["pieces"])
     ordered = sorted(counts, key=lambda lang: (-counts[lang], lang))
     # The start of a dictionary is the first to go out of reach; zstandard wants 8 bytes at least.
-    return Dictionaries({lang: (b"\n".join(pieces[lang])[:DICTIONARY] or lang.encode()).ljust(8) for lang in ordered})
+    return Dictionaries({lang: (_content(texts[lang]) or lang.encode()).ljust(8) for lang in ordered})
 
 
 def classify(docs: DataFrame, dictionaries: Dictionaries, min_margin: float = MIN_MARGIN) -> DataFrame:
@@ -83,7 +113,7 @@ def classify(docs: DataFrame, dictionaries: Dictionaries, min_margin: float = MI
         for batch in batches:
             found = []
             for text in batch.column(0).to_pylist():
-                if not compressors or text is None or not _LETTER.search(text):
+                if not compressors or not has_letter(text):
                     found.append((UNKNOWN, 0.0, True))
                     continue
                 raw = text.lower().encode("utf-8", "surrogatepass")

@@ -33,3 +33,23 @@ def test_awkward_documents(spark):
     assert len(nothing) == len(cases.ROWS) and {r.lang_pred for r in nothing} == {"und"}
     one = language.op2_language_id(cases.awkward(spark).selectExpr("doc_id", "text", "'en' as lang")).collect()
     assert {(r.lang_pred, r.score) for r in one} == {("en", 1.0), ("und", 0.0)}
+
+
+def test_numerals_are_no_letters(spark):
+    docs = spark.createDataFrame([(1, "\u00b2"), (2, "\u00bd 10"), (3, "\u2167 \u0663"), (4, "42 a"), (5, "\u05d0"), (6, "\u02b0")], "doc_id long, text string")
+    known = language.learn(cases.driver_rows(spark))
+    found = {r.doc_id: r.lang_pred for r in language.classify(docs, known).collect()}
+    assert [found[k] for k in (1, 2, 3)] == ["und"] * 3 and "und" not in [found[k] for k in (4, 5, 6)]
+
+
+def test_dictionaries_take_pieces_of_whole_texts_in_turn(spark, monkeypatch):
+    texts = [" ".join(f"{c}{i}" for i in range(5_000)) for c in "abcdef"]
+    docs = spark.createDataFrame([(k, t, "l") for k, t in enumerate(texts)] + [(9, "short one", "l"), (10, "", "l")], "doc_id long, text string, lang string")
+    content = language.learn(docs).content["l"].decode()
+    assert "\nshort one\n" in f"\n{content}\n" and all(f"\n{c}" in content or f" {c}" in content for c in "abcdef")
+    openings = sum(content.count(t[:256]) for t in texts)
+    late = [w for w in content.split() if w[0] in "abcdef" and w[1:].isdigit() and int(w[1:]) > 4_000]
+    assert openings <= 1 and late
+    monkeypatch.setattr(language, "DICTIONARY", 2_000)
+    small = language.learn(docs).content["l"].decode()
+    assert len(small) == 2_000 and all(f"{c}" in {w[0] for w in small.split()} for c in "abcdef")

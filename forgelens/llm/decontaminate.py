@@ -125,7 +125,7 @@ class Index:
 
 @dataclass
 class Phrases:
-    """Distinct windows of a block of items, as numbers of words, and the items that have them."""
+    """Distinct windows of a block of items, as numbers of words, and the ids of the items that have them."""
 
     number: dict[bytes, int]
     rows: np.ndarray
@@ -140,7 +140,9 @@ class Phrases:
             found = [number.setdefault(w, len(number) + 1) for w in words(text)]
             size = min(window, len(found))
             for k in range(len(found) - size + 1 if found else 0):
-                owners.setdefault(tuple(found[k : k + size]), {})[item] = True
+                named = owners.setdefault(tuple(found[k : k + size]), {})
+                if item is not None:
+                    named[item] = True
         rows = np.zeros((len(owners), window), np.int64)
         sizes = np.array([len(p) for p in owners], np.int64)
         for k, phrase in enumerate(owners):
@@ -200,7 +202,7 @@ _SPAN_TYPE = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 def _blocks(benchmark: DataFrame, window: int) -> Iterator[list[tuple]]:
     """Items (item_id as string, text) in blocks of bounded size; one block at a time is collected."""
-    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item"), "text", F.octet_length("text").alias("size"))
+    items = benchmark.where("text is not null").select(F.col("item_id").cast("string").alias("item"), "text", F.octet_length("text").alias("size"))
     total = items.agg(F.sum("size")).first()[0] or 0
     # A window starts at a word, and a word and its gap take two bytes at least.
     n = -(-int(total) // (2 * BLOCK)) or 1
@@ -213,8 +215,9 @@ def _blocks(benchmark: DataFrame, window: int) -> Iterator[list[tuple]]:
 def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with ``n_words``, ``hit_spans`` (word spans, merged) and ``hit_items`` (item ids as strings, sorted).
 
-    Null texts have no words and no hits, null item ids and texts give no phrase, items
-    repeated under one id count once. Columns with the names of added ones are replaced.
+    Null texts have no words and no hits, null item texts give no phrase. The windows of an item
+    without an id are hit like others, but there is no id to name. Items repeated under one id count
+    once. Columns with the names of added ones are replaced.
     """
     out = None
     for items in _blocks(benchmark, window):
@@ -297,5 +300,5 @@ def op4_benchmark_decontamination(docs: DataFrame, benchmark: DataFrame) -> Data
     n_hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda acc, s: acc + s["stop"] - s["start"])
     return out.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("hit_items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("hit_items", ",").cast("binary"), 256).alias("items_sha256"), (F.size("hit_items") > 0).alias("contaminated"),
+        F.sha2(F.array_join("hit_items", ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
     )

@@ -21,8 +21,8 @@ def expected(docs, items, window=10):
     for item, text in items:
         words = slow_words(text)
         size = min(window, len(words))
-        for i in range(len(words) - size + 1 if words and item is not None else 0):
-            phrases.setdefault(tuple(words[i : i + size]), set()).add(str(item))
+        for i in range(len(words) - size + 1 if words else 0):
+            phrases.setdefault(tuple(words[i : i + size]), set()).update([] if item is None else [str(item)])
     out = []
     for doc_id, text in docs:
         words, hit, found = slow_words(text), set(), set()
@@ -32,7 +32,7 @@ def expected(docs, items, window=10):
                     found |= phrases[p]
                     hit |= set(range(i, i + size))
         digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
-        out.append((doc_id, len(words), len(hit), len(found), digest, bool(found)))
+        out.append((doc_id, len(words), len(hit), len(found), digest, bool(hit)))
     return sorted(out, key=str)
 
 
@@ -54,6 +54,13 @@ def test_driver_documents(spark):
     assert found == expected([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()], [tuple(r) for r in items.collect()])
 
 
+def test_items_without_an_id_are_hit_but_not_named(spark):
+    words = [f"w{i}" for i in range(11)]
+    docs = spark.createDataFrame([(1, "x " + " ".join(words) + " y"), (2, " ".join(words[:10])), (3, "x y")], "doc_id long, text string")
+    out = {r.doc_id: r for r in decontaminate.op4_benchmark_decontamination(docs, spark.createDataFrame([(None, " ".join(words))], "item_id long, text string")).collect()}
+    assert {d: (r.n_hit, r.n_items, r.contaminated) for d, r in out.items()} == {1: (11, 0, True), 2: (10, 0, True), 3: (0, 0, False)}
+
+
 def test_index_counts_and_places():
     rng = np.random.default_rng(3)
     text = rng.integers(1, 5, 400)

@@ -5,7 +5,7 @@ ends; marks of other scripts end one wherever they stand, as many of these write
 compared in lower case with single spaces. Every run of ``SPAN`` successive sentences is hashed
 (96 bits); with ``short``, a text of fewer sentences is one run as a whole. Hashes are summed over all texts; of a repeated run the first
 place stays, and the sentences of all others go: the first is the smallest doc_id, null before
-all, then the smallest sentence number. Runs are found in the input, not in what is left of it.
+all, then the smallest sentence number, then the smallest hash of the text. Runs are found in the input, not in what is left of it.
 
 Only (hash, place) rows are shuffled. The first places are a combined minimum, so a run that a
 third of all texts share is no large group, and the join back to the places can be split.
@@ -34,7 +34,6 @@ SPAN = 3
 _MARKS = "\u3002\uff0e\uff01\uff1f\uff61\u0964\u0965\u06d4\u061f\u1362\u1367\u0589\u104a\u104b\u17d4\u17d5\u0f0d\u0f0e\u203c\u2047\u2048\u2049"
 _BREAK = re.compile(rf"[.!?]+\s+|[.!?]*[{_MARKS}][.!?{_MARKS}]*[\u300d\u300f\u201d\u2019\uff09\u3011\u300b]*\s*|\s*\n\s*")
 _WORD = re.compile(r"\S+\s*")
-_MASK = 0xFFFFFF
 LONGEST = 12
 _EVERY = 8
 _CLAUSE = 4
@@ -83,12 +82,12 @@ def _runs(pieces: list[str], span: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _places(docs: DataFrame, span: int, short: bool, longest: int | None) -> DataFrame:
-    """(h, c, doc_id, at): each run of ``docs`` (doc_id, mark, text); at holds the sentence number and the mark."""
+    """(h, c, doc_id, number, mark): each run of ``docs`` (doc_id, mark, text) by its first sentence."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["h", "c", "doc_id", "at"]
+        names = ["h", "c", "doc_id", "number", "mark"]
         for batch in batches:
-            ids, marks = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
+            ids, marks = batch.column(0), batch.column(1)
             hashes, checks, rows, numbers = [], [], [], []
             for k, text in enumerate(batch.column(2).to_pylist()):
                 pieces = sentences(text, longest)
@@ -97,13 +96,13 @@ def _places(docs: DataFrame, span: int, short: bool, longest: int | None) -> Dat
                     hashes.append(h)
                     checks.append(c)
                     rows.append(np.full(len(h), k))
-                    numbers.append(np.arange(len(h)))
+                    numbers.append(np.arange(len(h), dtype=np.int32))
             if hashes:
-                row = np.concatenate(rows)
-                at = (np.concatenate(numbers) << 24) | marks[row]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes)), pa.array(np.concatenate(checks)), ids.take(pa.array(row)), pa.array(at)], names=names)
+                row = pa.array(np.concatenate(rows))
+                found = [pa.array(np.concatenate(a)) for a in (hashes, checks, numbers)]
+                yield pa.RecordBatch.from_arrays([*found[:2], ids.take(row), found[2], marks.take(row)], names=names)
 
-    return docs.mapInArrow(run, "h long, c int, doc_id long, at long")
+    return docs.mapInArrow(run, "h long, c int, doc_id long, number int, mark long")
 
 
 def cut_repeated_spans(docs: DataFrame, span: int = SPAN, short: bool = False, longest: int | None = None) -> DataFrame:
@@ -113,16 +112,17 @@ def cut_repeated_spans(docs: DataFrame, span: int = SPAN, short: bool = False, l
     names are replaced. A null text stays null and has no sentence. Texts of fewer than ``span``
     sentences have no run and stay whole, unless ``short``: then such a text is one run and goes
     where another text of the same sentences stands before it. With ``longest``, sentences of more
-    words are cut into clauses, which count as sentences. Rows repeated with one doc_id and text are at the same
-    place and so don't remove each other.
+    words are cut into clauses, which count as sentences. Rows repeated with one doc_id (or none) and text are at
+    the same place and so don't remove each other; different texts of one doc_id, or without one, do.
     """
-    marked = docs.withColumn("__mark", F.xxhash64("text").bitwiseAND(F.lit(_MASK)))
+    marked = docs.withColumn("__mark", F.xxhash64("text"))
     places = _places(marked.select("doc_id", "__mark", "text"), span, short, longest)
-    first = places.groupBy("h", "c").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max(F.struct("doc_id", "at")).alias("last"))
+    place = F.struct("doc_id", "number", "mark")
+    first = places.groupBy("h", "c").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     # Stored: a join between two shuffles is split where a run is frequent, one with a sum is not.
     first = stage(first.where("not (first <=> last)").drop("last"))
-    later = places.join(first.hint("merge"), ["h", "c"]).where("not (doc_id <=> first.doc_id and shiftright(at, 24) = shiftright(first.at, 24))")
-    later = later.select(F.col("doc_id").alias("__id"), F.col("at").bitwiseAND(F.lit(_MASK)).alias("__of"), F.expr("cast(shiftright(at, 24) as int)").alias("number"))
+    later = places.join(first.hint("merge"), ["h", "c"]).where("not (doc_id <=> first.doc_id and number = first.number and mark = first.mark)")
+    later = later.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__of"), "number")
     later = stage(later.groupBy("__id", "__of").agg(F.collect_set("number").alias("__runs")))
 
     def pack(batches):

@@ -3,25 +3,27 @@ from __future__ import annotations
 import hashlib
 
 import cases
+import xxhash
 
 from forgelens.llm import sentences
 
 
 def expected(rows, span=3):
     order = lambda d: (d is not None, d or 0)
+    mark = lambda t: (xxhash.xxh64_intdigest((t or "").encode(), 42) + (1 << 63)) % (1 << 64)
     first: dict[tuple, tuple] = {}
     plain = lambda s: " ".join(s.split()).lower()
     for doc_id, text in rows:
         pieces = [plain(s) for s in sentences.sentences(text)]
         for i in range(len(pieces) - span + 1):
-            place, run = (order(doc_id), i), tuple(pieces[i : i + span])
+            place, run = (order(doc_id), i, mark(text)), tuple(pieces[i : i + span])
             first[run] = min(first.get(run, place), place)
     out = []
     for doc_id, text in rows:
         pieces = sentences.sentences(text)
         gone = set()
         for i in range(len(pieces) - span + 1):
-            if first[tuple(plain(s) for s in pieces[i : i + span])] < (order(doc_id), i):
+            if first[tuple(plain(s) for s in pieces[i : i + span])] < (order(doc_id), i, mark(text)):
                 gone |= set(range(i, i + span))
         kept = "".join(s for i, s in enumerate(pieces) if i not in gone)
         out.append((doc_id, len(pieces), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
@@ -35,6 +37,15 @@ def test_awkward_and_driver_documents(spark):
         assert any(r[2] for r in found)
 
 
+def test_texts_without_an_id_or_with_the_same_one_remove_each_other(spark):
+    same = "One more day. Two more nights. Three more words. "
+    rows = [(None, same + "Left alone."), (None, same + "Left behind."), (5, same), (7, "Four. Five. Six. Seven."), (7, "Four. Five. Six. Eight."), (7, "Four. Five. Six. Eight.")]
+    out = sorted([tuple(r) for r in sentences.op10_substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()], key=str)
+    assert out == expected(rows)
+    assert sorted(r[2] for r in out if r[0] is None) == [0, 3] and [r[2] for r in out if r[0] == 5] == [3]
+    assert sorted(r[2] for r in out if r[0] == 7) in ([0, 3, 3], [0, 0, 3])
+
+
 def test_sentences_make_up_the_text():
     for _, text, *_ in cases.ROWS:
         assert "".join(sentences.sentences(text)) == (text or "")

@@ -16,6 +16,8 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,10 @@ SPAN = 3
 # Full stops, question and exclamation marks that only end sentences, with closing quotes and brackets:
 # Chinese and Japanese (also half-width), Indic danda, Arabic and Urdu, Ethiopic, Armenian, Burmese, Khmer, Tibetan.
 _MARKS = "\u3002\uff0e\uff01\uff1f\uff61\u0964\u0965\u06d4\u061f\u1362\u1367\u0589\u104a\u104b\u17d4\u17d5\u0f0d\u0f0e\u203c\u2047\u2048\u2049"
-_BREAK = re.compile(rf"[.!?]+\s+|[.!?]*[{_MARKS}][.!?{_MARKS}]*[\u300d\u300f\u201d\u2019\uff09\u3011\u300b]*\s*|\s*\n\s*")
+# Begins with a set of characters, so that the search passes over all others at once.
+_BREAK = re.compile(
+    rf"[.!?\n{_MARKS}](?:(?<=\n)\s*|(?<=[.!?])[.!?]*\s+|(?:(?<=[{_MARKS}])|[.!?]*[{_MARKS}])[.!?{_MARKS}]*[\u300d\u300f\u201d\u2019\uff09\u3011\u300b]*\s*)"
+)
 _WORD = re.compile(r"\S+\s*")
 LONGEST = 12
 _EVERY = 8
@@ -52,21 +57,32 @@ def sentences(text: str | None, longest: int | None = LONGEST) -> list[str]:
     return pieces if longest is None else [c for p in pieces for c in _clauses(p, longest)]
 
 
+@lru_cache(1 << 16)
+def _ends_clause(word: str) -> bool:
+    return zlib.crc32(word.lower().encode("utf-8", "surrogatepass")) % _EVERY == 0
+
+
 def _clauses(sentence: str, longest: int) -> list[str]:
     """``sentence``, cut further if it has more than ``longest`` words."""
     if len(sentence) <= 2 * longest:  # a word and its gap take two characters at least
         return [sentence]
-    words = _WORD.findall(sentence)
+    words = sentence.split()
     if len(words) <= longest:
         return [sentence]
-    out, start, stop, count = [], 0, len(sentence) - sum(map(len, words)), 0
-    for word in words[:-1]:
-        stop += len(word)
-        count += 1
-        if count >= _CLAUSE and zlib.crc32(word.rstrip().lower().encode("utf-8", "surrogatepass")) % _EVERY == 0:
-            out.append(sentence[start:stop])
-            start, count = stop, 0
-    return [*out, sentence[start:]]
+    cuts, at = [0], _CLAUSE
+    while at < len(words):
+        if _ends_clause(words[at - 1]):
+            cuts.append(at)
+            at += _CLAUSE
+        else:
+            at += 1
+    whole = " ".join(words)
+    if sentence.startswith(whole):
+        out = [" ".join(words[i:j]) + " " for i, j in pairwise(cuts)]
+        return [*out, " ".join(words[cuts[-1] :]) + sentence[len(whole) :]]
+    words = _WORD.findall(sentence)
+    words[0] = sentence[: len(sentence) - sum(map(len, words))] + words[0]
+    return ["".join(words[i:j]) for i, j in pairwise([*cuts, len(words)])]
 
 
 def _runs(pieces: list[str], span: int) -> tuple[np.ndarray, np.ndarray]:

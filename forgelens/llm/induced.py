@@ -46,14 +46,17 @@ class _Queues:
             self.held = 0
 
     def take(self, byte: int) -> tuple[np.ndarray, np.ndarray] | None:
-        """The queue's next part, in order."""
-        if not self.parts[byte]:
+        """What comes next in the queue, in order: all tuples up to the next part on disk, or that part."""
+        parts = self.parts[byte]
+        if not parts:
             return None
-        part = self.parts[byte].pop(0)
-        if isinstance(part, tuple):
-            self.held -= len(part[0])
-            return part
-        self.file.seek(part)
+        n = next((k for k, part in enumerate(parts) if not isinstance(part, tuple)), len(parts))
+        if n:
+            suffixes, common = (np.concatenate(x) for x in zip(*parts[:n], strict=True))
+            del parts[:n]
+            self.held -= len(suffixes)
+            return suffixes, common
+        self.file.seek(parts.pop(0))
         return np.load(self.file), np.load(self.file)
 
 
@@ -79,18 +82,30 @@ class _Smallest:
         return out
 
 
-def _common(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Common prefix of the suffixes a and b, byte by byte, up to DEPTH."""
-    out = np.zeros(len(a), np.uint8)
+def eights(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place as one number."""
+    n = len(data) - 7
+    words = np.empty(n + -n % 8, np.uint64)
+    table = words.reshape(-1, 8)
+    for r in range(8):
+        count = (n - r + 7) // 8
+        if count > 0:
+            table[:count, r] = np.frombuffer(data, "<u8", count, r)
+    return words[:n]
+
+
+def _common(words: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Common prefix of the suffixes a and b, eight bytes at a time, up to DEPTH."""
+    out = np.full(len(a), DEPTH, np.uint8)
     on = np.arange(len(a))
-    for k in range(DEPTH):
-        ia, ib = a[on] + k, b[on] + k
-        ok = (ia < len(text)) & (ib < len(text))
-        on, ia, ib = on[ok], ia[ok], ib[ok]
-        on = on[text[ia] == text[ib]]
+    for k in range(0, DEPTH, 8):
+        differ = words[a[on] + k] ^ words[b[on] + k]
+        ends = np.flatnonzero(differ)
+        equal = k + (differ[ends].view(np.uint8).reshape(-1, 8) != 0).argmax(axis=1)
+        out[on[ends]] = np.minimum(equal, DEPTH)
+        on = on[differ == 0]
         if not len(on):
             break
-        out[on] = k + 1
     return out
 
 
@@ -99,7 +114,7 @@ def _sorted_stars(text: np.ndarray, stars: np.ndarray) -> np.ndarray:
     stops = np.append(stars[1:] + 1, len(text)).tolist()
     parts = [raw[a:b] + _END for a, b in zip(stars.tolist(), stops, strict=True)]
     names = {p: k for k, p in enumerate(sorted(set(parts)))}
-    rank = np.fromiter((names[p] for p in parts), np.int64, len(parts))
+    rank = np.fromiter(map(names.__getitem__, parts), np.int64, len(parts))
     # The last one is the end of the text, smaller than all that start alike.
     rank += 1
     rank[-1] = 0
@@ -184,8 +199,11 @@ def suffix_array(strings: list[bytes], memory: int = 1 << 22) -> tuple[np.ndarra
     is_s = np.repeat(small, np.diff(np.append(-1, ends)))
     stars = np.flatnonzero(is_s & np.append(False, ~is_s[:-1]))
 
+    # Two suffixes differ at the latest where the shorter one ends: no empty string, no two separators in a row.
+    words = eights(np.append(text, np.zeros(DEPTH + 8, np.uint8)))
+
     def one(a: int, b: int) -> int:
-        return int(_common(text, np.array([a]), np.array([b]))[0]) if a >= 0 else 0
+        return int(_common(words, np.array([a]), np.array([b]))[0]) if a >= 0 else 0
 
     def by_byte(suffixes: np.ndarray, common: np.ndarray):
         heads = text[suffixes]
@@ -193,7 +211,7 @@ def suffix_array(strings: list[bytes], memory: int = 1 << 22) -> tuple[np.ndarra
         return lambda byte: (suffixes[cut[byte] : cut[byte + 1]], common[cut[byte] : cut[byte + 1]])
 
     seeds = _sorted_stars(text, stars)
-    larger = _induce(text, ~is_s, by_byte(seeds, np.append(np.uint8(0), _common(text, seeds[:-1], seeds[1:]))), one, False, memory)
+    larger = _induce(text, ~is_s, by_byte(seeds, np.append(np.uint8(0), _common(words, seeds[:-1], seeds[1:]))), one, False, memory)
 
     def backwards(byte: int) -> tuple[np.ndarray, np.ndarray]:
         if not larger[byte]:

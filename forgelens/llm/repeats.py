@@ -34,13 +34,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forgelens.llm.common import append_columns
-from forgelens.llm.induced import DEPTH, suffix_array
+from forgelens.llm.induced import DEPTH, eights, suffix_array
 from forgelens.sources.staging import stage
 
 WINDOW = DEPTH
 GRAM = 32
 CROWD = 256
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
+_ROWS = 1 << 14  # of an Arrow batch that a task makes
 _REACH = WINDOW - GRAM + 1  # grams in a window; a run has no more windows than that
 _STEP = 0x10001  # times a place below 2 ** 46 it stays a long
 _PARTS = (8, 1)
@@ -49,49 +50,41 @@ _MIX = np.array([0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x8
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the GRAM bytes from each place."""
-    n = len(data) - 7
-    words = np.empty(n, np.uint64)
-    for r in range(8):
-        count = (n - r + 7) // 8
-        if count > 0:
-            words[r::8] = np.frombuffer(data, "<u8", count, r)
+    words = eights(data)
     words *= _MIX[0]
     words ^= words >> np.uint64(29)
     m = len(data) - GRAM + 1
     out = words[:m] * _MIX[0]
+    part = np.empty(m, np.uint64)
     for k in range(1, GRAM // 8):
-        out += words[8 * k : 8 * k + m] * _MIX[k]
-        out ^= out >> np.uint64(31)
+        out += np.multiply(words[8 * k : 8 * k + m], _MIX[k], out=part)
+        out ^= np.right_shift(out, np.uint64(31), out=part)
     out *= _MIX[1]
-    out ^= out >> np.uint64(32)
+    out ^= np.right_shift(out, np.uint64(32), out=part)
     return out
 
 
 def _runs(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, ...]:
     """Runs in the texts data[start:stop]: (text number, anchor hash, first window, further windows, way to the anchor)."""
-    empty = (np.zeros(0, np.int64),) * 5
     if len(data) < WINDOW:
-        return empty
+        return (np.zeros(0, np.int64),) * 5
     hashes = _gram_hashes(data)
-    place = np.arange(len(hashes), dtype=np.uint64)
-    least = (hashes & ~np.uint64((1 << 24) - 1)) | place  # the first of equal ones
+    least = hashes & ~np.uint64((1 << 24) - 1)
+    least |= np.arange(len(hashes), dtype=np.uint64)  # the first of equal ones
     have = 1
     while have < _REACH:
         step = min(have, _REACH - have)
         least = np.minimum(least[:-step], least[step:])
         have += step
-    anchor = (least & np.uint64((1 << 24) - 1)).astype(np.int64)
-    sizes = np.maximum(stops - starts - WINDOW + 1, 0)
-    total = int(sizes.sum())
-    if not total:
-        return empty
-    before = np.cumsum(sizes) - sizes
-    text = np.repeat(np.arange(len(starts)), sizes)
-    window = np.arange(total) - before[text] + starts[text]
-    anchors = anchor[window]
-    head = np.flatnonzero(np.append(True, (anchors[1:] != anchors[:-1]) | (text[1:] != text[:-1])))
-    further = np.diff(np.append(head, total)) - 1
-    return text[head], hashes[anchors[head]].view(np.int64), window[head] - starts[text[head]], further, anchors[head] - window[head]
+    # A run ends where the anchor changes or its text has no further window.
+    ends = np.maximum(stops - WINDOW + 1, starts)
+    edges = np.unique(np.concatenate([np.flatnonzero(least[1:] != least[:-1]) + 1, starts, ends]))
+    text = np.searchsorted(starts, edges, "right") - 1
+    run = np.flatnonzero((text >= 0) & (edges < ends[text]))
+    head, text = edges[run], text[run]
+    further = edges[run + 1] - head - 1
+    anchors = (least[head] & np.uint64((1 << 24) - 1)).astype(np.int64)
+    return text, hashes[anchors].view(np.int64), head - starts[text], further, anchors - head
 
 
 def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -107,22 +100,32 @@ def anchors(docs: DataFrame) -> DataFrame:
     """(h, loc, at) of every run of ``docs`` (key, text): ``at`` holds start, length and way to
     the anchor, and ``loc`` is ``key`` with a multiple of it, a number for the place."""
 
+    piece = max(1, _BLOCK >> 2)  # its arrays stay in the processor's cache
+
+    def together(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=["h", "loc", "at"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             data, offsets = _texts(batch.column(1))
-            row = 0
+            row, held, found = 0, 0, []
             while row < len(keys):
-                stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + _BLOCK, "right")) - 1)
-                # A text beyond a block is taken in pieces that overlap by a window less one byte.
-                for a in range(int(offsets[row]), int(offsets[stop]), 8 * _BLOCK):
-                    b = min(int(offsets[stop]), a + 8 * _BLOCK + WINDOW - 1)
+                stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + piece, "right")) - 1)
+                # A text beyond a piece is taken in parts that overlap by a window less one byte.
+                for a in range(int(offsets[row]), int(offsets[stop]), 8 * piece):
+                    b = min(int(offsets[stop]), a + 8 * piece + WINDOW - 1)
                     bounds = np.clip(offsets[row : stop + 1], a, b) - a
                     text, h, start, further, way = _runs(data[a:b], bounds[:-1], bounds[1:])
                     at = (((start + np.maximum(a - offsets[row + text], 0)) << 7 | further) << 7) | way
-                    loc = keys[row + text] ^ (at * _STEP)
-                    yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(loc), pa.array(at)], names=["h", "loc", "at"])
+                    found.append((h, keys[row + text] ^ (at * _STEP), at))
+                    held += len(h)
+                    if held >= _ROWS:
+                        yield together(found)
+                        held, found = 0, []
                 row = stop
+            if found:
+                yield together(found)
 
     return docs.select("key", "text").mapInArrow(run, "h long, loc long, at long")
 
@@ -133,7 +136,7 @@ def _pack(docs: DataFrame) -> DataFrame:
     def rows(batches):
         pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            yield [pa.array([pack((t or "").encode()) for t in batch.column(0).to_pylist()], pa.binary())]
+            yield [pa.array([pack(t.as_buffer() if t.is_valid else b"") for t in batch.column(0)], pa.binary())]
 
     return append_columns(docs, ["text"], T.StructType([T.StructField("__packed", T.BinaryType())]), rows).drop("text")
 
@@ -154,17 +157,23 @@ def _cuts(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            rows = []
-            for doc_id, key, packed, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                raw = unpack(packed)
-                for place in places:
-                    start, further, way = place["at"] >> 14, place["at"] >> 7 & 127, place["at"] & 127
-                    cut = raw[start : start + further + WINDOW]
-                    rows.append((place["h"], xxhash.xxh3_128_digest(cut), doc_id, key, start, further, way, cut))
-                if len(rows) >= 20_000:
-                    yield _cut_batch(rows)
-                    rows = []
-            yield _cut_batch(rows)
+            ids, keys, packed, places = batch.columns
+            of = np.repeat(np.arange(len(places)), places.value_lengths().to_numpy())
+            places = places.flatten()
+            hashes, at = places.field("h"), places.field("at").to_numpy()
+            raw, unpacked = b"", -1
+            for a in range(0, len(of), _ROWS):
+                row, here = of[a : a + _ROWS], at[a : a + _ROWS]
+                start, further, way = here >> 14, here >> 7 & 127, here & 127
+                cuts = []
+                for text, begin, end in zip(row.tolist(), start.tolist(), (start + further + WINDOW).tolist(), strict=True):
+                    if text != unpacked:
+                        raw, unpacked = unpack(packed[text].as_py()), text
+                    cuts.append(raw[begin:end])
+                sids = [xxhash.xxh3_128_digest(c) for c in cuts]
+                columns = [hashes.slice(a, _ROWS), sids, ids.take(pa.array(row)), keys.take(pa.array(row)), start, further, way, cuts]
+                columns = [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, _CUT_TYPES, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=_CUT_NAMES)
 
     return texts.mapInArrow(run, _CUT)
 
@@ -290,7 +299,7 @@ def _by_sorting(cuts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def blocks() -> Iterator[pa.Table]:
             held: list[pa.RecordBatch] = []
-            for batch in batches:
+            for batch in (b.slice(k, _ROWS >> 3) for b in batches for k in range(0, b.num_rows, _ROWS >> 3)):
                 held.append(batch)
                 if sum(b.nbytes for b in held) < _BLOCK:
                     continue
@@ -319,10 +328,10 @@ def _by_sorting(cuts: DataFrame) -> DataFrame:
 
 def _resolved(cuts: DataFrame, parts: tuple[int, ...]) -> DataFrame:
     """Spans of ``cuts``; groups of equal h hold all equal windows."""
-    cuts = stage(cuts)
+    cuts = stage(cuts, "zstd")  # bytes of texts are most of what is stored
     place = F.struct("doc_id", "start", "key")
     same = [F.first(c).alias(c) for c in ("further", "way", "cut")]
-    distinct = stage(cuts.groupBy("h", "sid").agg(F.min(place).alias("first"), F.count("*").alias("rows"), *same))
+    distinct = stage(cuts.groupBy("h", "sid").agg(F.min(place).alias("first"), F.count("*").alias("rows"), *same), "zstd")
     spans = (
         cuts.select("h", "sid", "doc_id", "key", "start", "further").join(distinct.where("rows > 1").select("h", "sid", "first"), ["h", "sid"])
         .where("not (doc_id <=> first.doc_id and start = first.start)").select("doc_id", "key", "start", F.expr(f"start + further + {WINDOW}").alias("stop"))
@@ -372,10 +381,10 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             kept, sizes, removed, counts = [], [], [], []
-            for packed, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                raw, left, at, n = unpack(packed), [], 0, 0
+            for packed, spans in zip(*batch.columns, strict=True):  # one text at a time: all of a batch would be large
+                raw, left, at, n = unpack(packed.as_buffer()), [], 0, 0
                 stop = -1
-                for span in sorted((x["start"], x["stop"]) for x in spans or ()):
+                for span in sorted((x["start"], x["stop"]) for x in spans.as_py() or ()):
                     if span[0] > stop:
                         n += 1
                         left.append(raw[at : span[0]])

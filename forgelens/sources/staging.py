@@ -101,12 +101,12 @@ def children(spark: SparkSession, path: str) -> set[str]:
         raise
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` once and go on from the stored copy.
 
     For a frame that several branches of a plan read: it is computed once, its lineage
     ends here, and losing an executor costs no recomputation.
     """
     path = shared_dir(df.sparkSession)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

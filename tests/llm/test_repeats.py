@@ -7,8 +7,9 @@ import cases
 import numpy as np
 import pytest
 
-from forgelens.llm import repeats
+from forgelens.llm import induced, repeats
 from forgelens.llm.induced import DEPTH, suffix_array
+from forgelens.sources.staging import stage
 
 
 @pytest.mark.parametrize("memory", [8, 1 << 20])
@@ -78,3 +79,48 @@ def test_empty_table_and_clashing_names(spark):
     assert out.count() == len(cases.ROWS)
     assert {"start", "key", "h", "kept", "n_bytes"} <= set(out.columns) and "text" not in out.columns
     assert out.where("start <> 1 or key <> 2 or h <> 4").count() == 0
+
+
+def test_pending_tuples_of_a_byte_are_taken_at_once():
+    queues = induced._Queues(100)
+    for k in range(3):
+        queues.put(7, np.array([k, k + 10]), np.array([k, k], np.uint8))
+    suffixes, common = queues.take(7)
+    assert (suffixes.tolist(), common.tolist()) == ([0, 10, 1, 11, 2, 12], [0, 0, 1, 1, 2, 2])
+    assert queues.take(7) is None and queues.held == 0
+
+
+def test_parts_on_disk_keep_their_order():
+    queues, taken = induced._Queues(3), []
+    for k in range(4):
+        queues.put(7, np.array([k, k + 10]), np.zeros(2, np.uint8))
+    while (part := queues.take(7)) is not None:
+        taken += part[0].tolist()
+    assert taken == [0, 10, 1, 11, 2, 12, 3, 13]
+
+
+def test_runs_cover_each_window_once():
+    rng = random.Random(5)
+    texts = [bytes(rng.randrange(97, 99) for _ in range(n)) for n in (0, 300, 99, 100, 0, 0, 1500, 101, 0)]
+    stops = np.cumsum([len(t) for t in texts])
+    starts = stops - [len(t) for t in texts]
+    runs = list(zip(*(c.tolist() for c in repeats._runs(np.frombuffer(b"".join(texts), np.uint8), starts, stops)), strict=True))
+    windows = [(text, start + k) for text, _, start, further, _ in runs for k in range(further + 1)]
+    assert windows == [(text, k) for text, t in enumerate(texts) for k in range(len(t) - 99)]
+    grams = {}
+    for text, h, start, further, way in runs:
+        assert further <= way <= 100 - repeats.GRAM
+        assert grams.setdefault(texts[text][start + way :][: repeats.GRAM], h) == h
+
+
+def test_stored_cuts_are_compressed_well(spark, monkeypatch):
+    stored = {}
+
+    def staged(df, compression=None):
+        out = stage(df, compression)
+        stored.setdefault("cut" in df.columns, []).extend(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(repeats, "stage", staged)
+    found(cases.driver_rows(spark))
+    assert stored[True] and all(".zstd." in f for f in stored[True])

@@ -12,6 +12,7 @@ from forgelens.functions.joins import join_slices
 from forgelens.operators.metrics import valid_events
 
 _BUCKETS_PER_PLACE = 4
+_LOG_OF_IDS = 44.0  # above the logarithm of the largest id
 
 
 def available_metrics(metrics: DataFrame, wanted: Sequence[str]) -> list[str]:
@@ -33,8 +34,8 @@ def metric_leaders(
 
     All metrics are ranked in one pass over (entity, metric, value) rows, by one plan at every
     size. Values that cannot make it are dropped before they are sorted, see ``_above_floors``;
-    of what is left, mostly ties with the last place, Spark cuts each task's rows to ``top_n``
-    per group before the shuffle (WindowGroupLimit).
+    of what is left, little more than ``top_n`` per group, Spark cuts each task's rows to
+    ``top_n`` before the shuffle (WindowGroupLimit).
 
     ``metrics`` is read twice: pass a stored table.
     """
@@ -42,7 +43,7 @@ def metric_leaders(
     ids = [*slice_cols, *grain.keys]
     wide = valid_events(metrics, grain).selectExpr(*ids, *[f"CAST({m} AS DOUBLE) AS {m}" for m in names])
     entities = wide.select(*ids, F.array(*names).alias("_values"))
-    entities = _above_floors(entities, _floors(wide, names, grain, top_n, slice_cols), slice_cols)
+    entities = _above_floors(entities, _floors(wide, names, grain, top_n, slice_cols), grain, slice_cols)
     labels = F.array(*[F.lit(m) for m in names])
     values = (
         entities.select(*ids, F.posexplode("_values").alias("_position", "metric_value"))
@@ -52,32 +53,44 @@ def metric_leaders(
     return _leaders(values, [*slice_cols, "selection_metric"], grain, top_n)
 
 
+def _place(value: str, grain: Grain) -> str:
+    """SQL for a number that never rises from an entity to one ranked below it.
+
+    A whole value is lowered by less than a half, more for higher ids, so that ties at it, such as the
+    zeros and ones of rare event types, are told apart. What lies between two whole numbers is
+    squeezed into the lower half and keeps its order; there, ties stay ties.
+    """
+    share = f"log1p(greatest({grain.id}, 0L)) / {_LOG_OF_IDS}D"
+    whole = f"CAST(floor({value}) AS DOUBLE)"
+    return f"CASE WHEN {value} = {whole} THEN {value} - {share} / 2 ELSE {whole} + ({value} - {whole}) / 2 END"
+
+
 def _floors(wide: DataFrame, names: Sequence[str], grain: Grain, top_n: int, slice_cols: Sequence[str]) -> DataFrame:
-    """Per slice, a value for each metric that at least ``top_n`` entities reach.
+    """Per slice, a ``_place`` for each metric that at least ``top_n`` entities reach.
 
     Entities are hashed into a few buckets per place to give away; the ``top_n``-th largest
     bucket maximum is reached by ``top_n`` different entities. It is null if there are not
     that many.
     """
     bucket = F.pmod(F.xxhash64(*grain.keys), F.lit(_BUCKETS_PER_PLACE * top_n)).alias("_bucket")
-    maxima = wide.groupBy(*slice_cols, bucket).agg(*[F.expr(f"max({m}) AS {m}") for m in names])
+    maxima = wide.groupBy(*slice_cols, bucket).agg(*[F.expr(f"max({_place(m, grain)}) AS {m}") for m in names])
     nth = [F.expr(f"get(sort_array(collect_list({m}), false), {top_n - 1})") for m in names]
     return maxima.groupBy(*slice_cols).agg(F.array(*nth).alias("_floors"))
 
 
-def _above_floors(entities: DataFrame, floors: DataFrame, slice_cols: Sequence[str]) -> DataFrame:
-    """Blank out values below their floor: they cannot be among the leaders, ties with it can.
+def _above_floors(entities: DataFrame, floors: DataFrame, grain: Grain, slice_cols: Sequence[str]) -> DataFrame:
+    """Blank out values whose place is below the floor: they cannot be among the leaders.
 
     Without this, every entity would be sorted once per metric, mostly for the zeros of
-    event types it never had.
+    event types it never had and for the ones of those it had once.
     """
     if slice_cols:
-        # One small row per slice: AQE broadcasts them by their measured size, and only a very
-        # long history makes it shuffle the entities instead.
-        bounded = join_slices(entities, floors, slice_cols)
+        # One small row per slice: hashed, it needs neither the entities sorted nor a broadcast. AQE splits a large slice.
+        bounded = join_slices(entities, floors.hint("shuffle_hash"), slice_cols)
     else:
         bounded = entities.select("*", floors.scalar().alias("_floors"))
-    reached = F.expr("zip_with(_values, _floors, (v, f) -> CASE WHEN v >= coalesce(f, v) THEN v END)")
+    # A place is never above its value: most values fail that comparison and need no place.
+    reached = F.expr(f"zip_with(_values, _floors, (v, f) -> CASE WHEN f IS NULL OR (v >= f AND {_place('v', grain)} >= f) THEN v END)")
     return bounded.withColumn("_values", reached).drop("_floors")
 
 

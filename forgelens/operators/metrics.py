@@ -33,7 +33,9 @@ def event_code(column: str = "event_type") -> str:
     return f"coalesce(array_position(array({vocabulary}), {column}), 0L)"
 
 
-def entity_counts(events: DataFrame, grain: Grain, slice_cols: Sequence[str] = SLICE) -> DataFrame:
+def entity_counts(
+    events: DataFrame, grain: Grain, slice_cols: Sequence[str] = SLICE, gathered: bool = False
+) -> DataFrame:
     """All counts of a grain in one scan, exact distinct counts included.
 
     Every event is turned into one row per thing it mentions: its type, its actor, and
@@ -41,6 +43,11 @@ def entity_counts(events: DataFrame, grain: Grain, slice_cols: Sequence[str] = S
     (entity, dimension, member), both removes duplicates and counts, so the second one
     only adds up. An entity that holds a large part of all events is spread over its
     members in the first shuffle and is down to one row per task in the second.
+
+    Where most entities have few events, that spreads them too, and the second aggregation would
+    begin with a wide row in memory for nearly every member. ``gathered`` deals the narrow rows by
+    entity before it, in pieces of the size AQE is set to: a piece holds its entities only, however
+    large the table is, and a large entity is split over several pieces.
     """
     keys = [*slice_cols, *grain.keys]
     distinct = {d: v for d, v in DISTINCT.items() if d != "repo" or "repos_count" in grain.extra_counts}
@@ -63,6 +70,9 @@ def entity_counts(events: DataFrame, grain: Grain, slice_cols: Sequence[str] = S
         F.expr("count_if(_merged) AS _merged"),
         F.expr("max(created_at) AS _last"),
     )
+    if gathered:
+        # Dealt by a hash that is no key of the aggregation, so that AQE may split the pieces.
+        per_member = per_member.withColumn("_entity", F.xxhash64(*keys)).hint("rebalance", "_entity")
 
     def total(column: str, condition: str = "") -> str:
         return f"sum(CASE WHEN _dimension = '{_EVENT}' {condition} THEN {column} ELSE 0 END)"
@@ -91,6 +101,8 @@ def with_scores(counts: DataFrame) -> DataFrame:
     )
 
 
-def entity_metrics(events: DataFrame, grain: Grain, slice_cols: Sequence[str] = SLICE) -> DataFrame:
+def entity_metrics(
+    events: DataFrame, grain: Grain, slice_cols: Sequence[str] = SLICE, gathered: bool = False
+) -> DataFrame:
     """Counts, ratios and scores per entity and slice; no slice columns means one whole range."""
-    return with_scores(entity_counts(events, grain, slice_cols))
+    return with_scores(entity_counts(events, grain, slice_cols, gathered))

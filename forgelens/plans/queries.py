@@ -51,7 +51,7 @@ def query(name: str) -> Callable[[Query], Query]:
 
 
 def _metrics(spark: SparkSession, sf: str, grain: Grain, by: tuple[str, ...]) -> DataFrame:
-    return entity_metrics(tables.events_flat(spark, sf), grain, by)
+    return entity_metrics(tables.events_flat(spark, sf), grain, by, gathered=True)
 
 
 def _snapshot(spark: SparkSession, sf: str, grain: Grain) -> DataFrame:

@@ -78,7 +78,7 @@ def ingest(spark: SparkSession, layout: Layout, landing: str, slices: Slices | N
 def aggregate(spark: SparkSession, layout: Layout, slices: Slices | None = None) -> None:
     events = read_slices(spark, layout.path("bronze", "events_flat"), slices, in_slice(EVENTS_FLAT))
     for grain in (REPO, ORG):
-        write_slices(entity_metrics(events, grain), layout.path("silver", f"{grain.name}_aggregates"), owned=slices)
+        write_slices(entity_metrics(events, grain, gathered=True), layout.path("silver", f"{grain.name}_aggregates"), owned=slices)
 
 
 def summarise(spark: SparkSession, layout: Layout, slices: Slices | None = None) -> None:

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import random
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from builders import DAY, ORG, REPO, SLICE, by, events, metrics
+from forgelens.operators import candidates
 from forgelens.operators.candidates import metric_leaders, select_candidates
 from forgelens.operators.metrics import entity_metrics
 from forgelens.sources.staging import stage
@@ -105,6 +107,33 @@ def test_floors_never_cost_a_leader(spark, slices):
         assert found == sorted(wanted)
 
 
+@pytest.mark.parametrize("slices", [(), SLICE], ids=["whole", "hourly"])
+def test_ties_with_the_last_place_are_not_all_sorted(spark, monkeypatch, slices):
+    """Entities that all have the same few values, as most have in an hour: about top_n of each are ranked."""
+    rows = [{"repo_id": i, "repo_full_name": f"a/{i}", "base": 1, "watch_events": 0} for i in range(1, 2001)]
+    table = stage(metrics(spark, REPO, rows))
+    wanted = [(m, k, k) for m in ("push_events", "push_events_ratio", "watch_events") for k in range(1, 6)]
+    found = metric_leaders(table, REPO, 5, wanted=sorted({w[0] for w in wanted}), slice_cols=slices).collect()
+    assert sorted((r.selection_metric, r.metric_rank, r.repo_id) for r in found) == sorted(wanted)
+    monkeypatch.setattr(candidates, "_leaders", lambda values, *_: values)
+    assert metric_leaders(table, REPO, 5, slice_cols=slices).count() < 20 * len(REPO.metrics)
+
+
+@pytest.mark.parametrize("top_n", [1, 4, 30])
+def test_floors_keep_the_order_of_any_value_and_id(spark, top_n):
+    """Values between whole numbers and beyond them, ids below zero and of any size."""
+    rng = random.Random(top_n)
+    odd = [0.0, -0.0, 0.5, 0.75, 1.0, 1.0 + 2**-52, 1.0 - 2**-53, 2.0, -1.0, -0.5, 2.0**60, 1e300, float("inf"), float("-inf")]
+    ids = [*range(-3, 40), *(2**62 + i for i in range(40)), *(10**9 + i for i in range(200))]
+    values = {i: rng.choice(odd[: rng.choice([3, 8, len(odd)])]) for i in ids}
+    table = stage(metrics(spark, REPO, [{"repo_id": i, "repo_full_name": f"a/{i}", "bot_ratio": v} for i, v in values.items()]))
+    found = metric_leaders(table, REPO, top_n, wanted=["bot_ratio"]).collect()
+    leaders = sorted(ids, key=lambda i: (-values[i], i))[:top_n]
+    assert [r.repo_id for r in sorted(found, key=lambda r: r.metric_rank)] == leaders
+    lowest = metrics(spark, REPO, [{"repo_id": i, "repo_full_name": f"a/{i}", "bot_ratio": float("nan") if i == 7 else 1.0} for i in range(60)])
+    assert 7 in [r.repo_id for r in metric_leaders(lowest, REPO, top_n, wanted=["bot_ratio"]).collect()]
+
+
 def test_rows_without_a_slice_are_ranked_among_themselves(spark):
     rows = [{"repo_id": i, "repo_full_name": f"a/{i}", "base": i, "dt": dt} for dt in (DAY, None) for i in (1, 2)]
     got = select_candidates(metrics(spark, REPO, rows), REPO, 1).collect()
@@ -117,3 +146,7 @@ def test_rows_are_cut_before_the_shuffle(spark, plan_of):
     assert plan.count("Generate") == 1
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert "Exchange SinglePartition" not in plan
+
+
+def test_entities_are_not_sorted_by_slice_to_meet_their_floors(spark, plan_of):
+    assert "SortMergeJoin" not in plan_of(metric_leaders(metrics(spark, REPO, []), REPO, 25))

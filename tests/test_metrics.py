@@ -181,3 +181,20 @@ def test_plan_has_two_shuffles_and_no_sort(spark, plan_of):
     assert plan.count("Expand") == 1
 
 
+@pytest.mark.parametrize("grain", [REPO, ORG], ids=["repo", "org"])
+@pytest.mark.parametrize("slices", [(), SLICE], ids=["whole", "hourly"])
+def test_gathered_members_give_the_same_counts(spark, grain, slices):
+    rows = random_events(5)
+    got = entity_metrics(events(spark, rows), grain, slices, gathered=True).collect()
+    found = {(*[r[c] for c in slices], r[grain.id]): tuple(r[c] for c in grain.counts) for r in got}
+    assert found == brute_force(rows, grain, slices)
+
+
+def test_gathered_members_are_dealt_in_pieces_before_wide_rows_are_made(spark, plan_of):
+    """Otherwise the second aggregation holds a wide row for nearly every member of a task."""
+    plan = plan_of(entity_metrics(events(spark, []), REPO, gathered=True))
+    assert plan.count("REBALANCE_PARTITIONS_BY_COL") == 1
+    below = plan.split("REBALANCE_PARTITIONS_BY_COL")[0]
+    assert below.count("HashAggregate") == 2 and "Sort" not in plan
+
+
